@@ -1,0 +1 @@
+"""Empty on purpose: no query in scope reads a stream (see README, "Not built")."""
