@@ -11,8 +11,14 @@ from pyspark.sql import functions as F
 
 from stratiform.operators import columns as c
 from stratiform.operators import quality as q
+from stratiform.operators.centers import assign_nearest, kmeans, pca_kmeans
+from stratiform.operators.density import dbscan, estimate_bandwidth, mean_shift
+from stratiform.operators.evaluate import compare_methods
+from stratiform.operators.hierarchy import hierarchy
+from stratiform.operators.mixture import gmm, gmm_score
 from stratiform.operators.scale import Scaler, scaler_apply, scaler_fit
-from stratiform.sources.mart import KEY, PREMIUMS, engage, lob
+from stratiform.operators.tree import fit_tree, label_outliers, split_by_key
+from stratiform.sources.mart import KEY, PREMIUMS, customer_orders, engage, lob
 
 AS_OF_YEAR = 2002
 FENCE_LO, FENCE_HI = 0.01, 0.99
@@ -133,8 +139,6 @@ CATEGORICAL = [*CATEGORIES, "salary_bin", "tenure_bin"]
 def density_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three z-scored columns with visible density structure: sales, returned share, balance."""
     e = engage(spark, sf_dir)
-    from stratiform.sources.mart import customer_orders
-
     sales = customer_orders(spark, sf_dir).select(F.col("o_custkey").alias(KEY), (F.col("gross") / F.lit(10000.0)).alias("gross_sales"))
     base = e.join(sales, KEY).select(
         KEY, "gross_sales", F.col("claims_rate").alias("returned_share"), F.col("gross_monthly_salary").alias("balance")
@@ -143,3 +147,54 @@ def density_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DENSITY = ["gross_sales", "returned_share", "balance"]
+
+
+# ---- segmentation ----------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Segments:
+    frame: ModelFrame
+    labels: DataFrame
+
+
+def segment(spark: SparkSession, sf_dir: str, k: int = 5) -> Segments:
+    """k-means labels of the model frame."""
+    m = model_frame(spark, sf_dir)
+    centers, _ = kmeans(m.std, KEY, FEATURES, k)
+    return Segments(m, assign_nearest(m.std, centers).select(KEY, "label"))
+
+
+def explain(s: Segments, frac: float = 0.7, seed: int = 1):
+    """Tree on the unscaled features of the training side: ``(model, train, test)``."""
+    train, test = split_by_key(c.attach_labels(s.frame.features, s.labels, KEY), KEY, frac, seed)
+    return fit_tree(train, FEATURES), train, test
+
+
+def extend(s: Segments, model) -> DataFrame:
+    """Inside rows with their label and outliers with a predicted one."""
+    outside = c.model_features(s.frame.outside, KEY, PREMIUMS)
+    return label_outliers(s.frame.features, s.labels, outside, model, KEY, FEATURES)
+
+
+def scoreboard(spark: SparkSession, sf_dir: str, k: int = 5, eps: float = 0.9, min_samples: int = 50) -> DataFrame:
+    """Score of k-means, component k-means, mixture, density, mean shift and ward labels."""
+    m = model_frame(spark, sf_dir)
+    std = m.std
+    centers, _ = kmeans(std, KEY, FEATURES, k)
+    mix, _ = gmm(std, KEY, FEATURES, k)
+    width = estimate_bandwidth(std, KEY, FEATURES, 0.1, 3000).first()["bandwidth"]
+    ward = hierarchy(std, KEY, FEATURES, "ward", [k])
+    return compare_methods(
+        std,
+        {
+            "kmeans": assign_nearest(std, centers).select(KEY, "label"),
+            "pca_kmeans": pca_kmeans(std, KEY, FEATURES, 4, k)[0],
+            "dbscan": dbscan(std, KEY, FEATURES, eps, min_samples),
+            "mean_shift": mean_shift(std, KEY, FEATURES, width)[0],
+            "gaussian_mixture": gmm_score(std, mix, KEY).select(KEY, "label"),
+            "hierarchy_ward": ward.withColumnRenamed(f"label_k{k}", "label"),
+        },
+        KEY,
+        FEATURES,
+    )
