@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_PRIME = 2_147_483_647
-HASH_FACTOR = 48_271
+HASH_FACTOR = 1_103_515_245
 
 
 def count_if_across(cols: Sequence[str], pred: Callable[[Column], Column]) -> Column:

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from stratiform.functions.expr import key_hash
 from stratiform.operators.pca import pca_project
+from stratiform.session import small_table
 
 MAX_CENTERS = 20_000
 INLINE_TERMS = 400
@@ -50,10 +51,8 @@ class Centers:
         return Centers(tuple(cols), tuple(r[0] for r in rows), np.array([list(r)[1:] for r in rows], dtype=float))
 
     def table(self, spark: SparkSession, id_col: str = "label") -> DataFrame:
-        schema = T.StructType(
-            [T.StructField(id_col, T.IntegerType())] + [T.StructField(c, T.DoubleType()) for c in self.cols]
-        )
-        return spark.createDataFrame([(int(i), *map(float, p)) for i, p in zip(self.ids, self.points)], schema)
+        schema = f"`{id_col}` int, " + ", ".join(f"`{c}` double" for c in self.cols)
+        return small_table(spark, [(int(i), *map(float, p)) for i, p in zip(self.ids, self.points)], schema)
 
 
 def distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -259,7 +258,7 @@ def elbow(df: DataFrame, key: str, cols: Sequence[str], k_max: int, n_init: int
     if k_max > 1:
         fits = kmeans_many(df, key, cols, range(2, k_max + 1), n_init, seed)
         rows += [(k, fits[k][1]) for k in sorted(fits)]
-    return df.sparkSession.createDataFrame(rows, "k int, sse double")
+    return small_table(df.sparkSession, rows, "k int, sse double")
 
 
 def compare_init(df: DataFrame, cols: Sequence[str], methods: Sequence[str], k: int, seed: int = 0, max_iter: int = 100) -> DataFrame:
@@ -275,7 +274,7 @@ def compare_init(df: DataFrame, cols: Sequence[str], methods: Sequence[str], k:
     finally:
         vec.unpersist()
     schema = "method string, label int, " + ", ".join(f"{c} double" for c in cols) + ", size bigint, cost double"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return small_table(df.sparkSession, rows, schema)
 
 
 def pca_kmeans(df: DataFrame, key: str, cols: Sequence[str], n: int, k: int, n_init: int = 30, seed: int = 0) -> tuple[DataFrame, Centers]:

@@ -18,10 +18,11 @@ from pyspark.sql.window import Window
 from stratiform.functions.expr import bin_label, percent_label
 from stratiform.functions.quantile import quantile_values
 from stratiform.operators.columns import melt
+from stratiform.session import small_table
 
 
 def _rows(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    return df.sparkSession.createDataFrame(rows, schema)
+    return small_table(df.sparkSession, rows, schema)
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:

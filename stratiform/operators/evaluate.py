@@ -17,6 +17,7 @@ from stratiform.functions.expr import key_hash
 from stratiform.functions.rank import ranked as ranked_rows
 from stratiform.operators.centers import Centers, assign_nearest, distances, kmeans_many, train_runs
 from stratiform.operators.columns import attach_labels
+from stratiform.session import small_table
 
 BLOCK_ROWS = 4096
 MAX_LABELS = 10_000
@@ -175,7 +176,7 @@ def silhouette_bounds(df: DataFrame, labels: DataFrame, key: str, cols: Sequence
         row = bounds.agg(F.avg("low").alias("lower"), F.avg("high").alias("upper"), F.sum("n").alias("n")).first()
     finally:
         members.unpersist()
-    return df.sparkSession.createDataFrame([tuple(row)], "lower double, upper double, n bigint")
+    return small_table(df.sparkSession, [tuple(row)], "lower double, upper double, n bigint")
 
 
 def silhouette_fast(df: DataFrame, labels: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -185,7 +186,7 @@ def silhouette_fast(df: DataFrame, labels: DataFrame, key: str, cols: Sequence[s
     value = ClusteringEvaluator(
         predictionCol="label", featuresCol="features", metricName="silhouette", distanceMeasure="squaredEuclidean"
     ).evaluate(vec)
-    return df.sparkSession.createDataFrame([(float(value),)], "silhouette double")
+    return small_table(df.sparkSession, [(float(value),)], "silhouette double")
 
 
 def compare_methods(
@@ -241,7 +242,7 @@ def confusion_matrix(pred: DataFrame, actual: str = "label", predicted: str = "p
     ids = sorted({int(v) for r in rows for v in (r[actual], r[predicted])})
     n = {(int(r[actual]), int(r[predicted])): r["n"] for r in rows}
     schema = "actual int, " + ", ".join(f"p{i} bigint" for i in ids)
-    return pred.sparkSession.createDataFrame([(a, *[n.get((a, p), 0) for p in ids]) for a in ids], schema)
+    return small_table(pred.sparkSession, [(a, *[n.get((a, p), 0) for p in ids]) for a in ids], schema)
 
 
 def accuracy(pred: DataFrame, actual: str = "label", predicted: str = "prediction") -> DataFrame:

@@ -8,30 +8,43 @@ four linkages offered.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.functions.expr import sq_dist
-from stratiform.operators.centers import assign_nearest, kmeans_many, update_centers
-from stratiform.session import cut_lineage
+from stratiform.operators.centers import assign_nearest, distances, kmeans_many, update_centers
+from stratiform.session import cut_lineage, small_table
 
 LINKAGES = ("ward", "complete", "average", "weighted")
 MAX_MICRO = 512
 
 
 def _pair_table(micro: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Every pair ``a < b`` of micro-clusters with squared center distance."""
-    rows = micro.select("label", *cols).orderBy("label").limit(MAX_MICRO + 1).collect()
+    """Every pair ``a < b`` of micro-clusters with squared center distance and both sizes.
+    Their number is bounded by ``MAX_MICRO``, so one side is sent to the tasks."""
+    rows = micro.select("label", "n", *cols).orderBy("label").limit(MAX_MICRO + 1).collect()
     if len(rows) > MAX_MICRO:
         raise ValueError(f"more than {MAX_MICRO} micro-clusters")
-    others = F.array(
-        *[F.struct(F.lit(r["label"]).alias("b"), sq_dist(cols, [r[c] for c in cols]).alias("s")) for r in rows]
-    )
-    return micro.select(F.col("label").alias("a"), F.explode(others).alias("o")).select("a", "o.b", "o.s").filter("a < b")
+    ids = np.array([r["label"] for r in rows])
+    size = np.array([float(r["n"]) for r in rows])
+    points = np.array([[r[c] for c in cols] for r in rows], dtype=float)
+    names = list(cols)
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            d = distances(pdf[names].to_numpy(dtype=float), points)
+            i, j = np.nonzero(pdf["label"].to_numpy()[:, None] < ids[None, :])
+            yield pd.DataFrame(
+                {"a": pdf["label"].to_numpy()[i], "b": ids[j], "s": d[i, j], "na": pdf["n"].to_numpy(dtype=float)[i], "nb": size[j]}
+            )
+
+    return micro.select("label", "n", *cols).mapInPandas(pairs, "a int, b int, s double, na double, nb double")
 
 
 def merge_tree(micro: DataFrame, cols: Sequence[str], linkage: str) -> list[tuple[int, int, float]]:
@@ -45,47 +58,45 @@ def merge_tree(micro: DataFrame, cols: Sequence[str], linkage: str) -> list[tupl
     if linkage not in LINKAGES:
         raise ValueError(f"linkage must be one of {LINKAGES}")
     ward = linkage == "ward"
-    nodes = cut_lineage(micro.select(F.col("label").alias("id"), F.col("n").cast("double").alias("n")))
-    base = _pair_table(micro, cols)
-    pairs = cut_lineage(base.select("a", "b", (F.col("s") if ward else F.sqrt("s")).alias("s")))
+    spark = micro.sparkSession
+    pairs = cut_lineage(_pair_table(micro, cols).withColumn("s", F.col("s") if ward else F.sqrt("s")))
+    product, total = F.col("na") * F.col("nb"), F.col("na") + F.col("nb")
+    height = F.sqrt(2 * product / total * F.greatest(F.col("s"), F.lit(0.0))) if ward else F.col("s")
+    value = {
+        "complete": F.max("s"),
+        "weighted": F.avg("s"),
+    }.get(linkage, F.sum(product * F.col("s")) / F.sum(product))
     merges: list[tuple[int, int, float]] = []
-    left = nodes.count()
-    while left > 1:
-        sized = pairs.join(nodes.withColumnsRenamed({"id": "a", "n": "na"}), "a").join(
-            nodes.withColumnsRenamed({"id": "b", "n": "nb"}), "b"
-        )
-        product, total = F.col("na") * F.col("nb"), F.col("na") + F.col("nb")
-        height = F.sqrt(2 * product / total * F.greatest(F.col("s"), F.lit(0.0))) if ward else F.col("s")
+    while True:
         # Ordered by (height, a, b): a total order, so at least one pair is mutual.
-        choice = F.struct(height.alias("h"), "a", "b", "s", (product / (total * total)).alias("w"))
-        nearest = (
-            sized.select(F.explode(F.array("a", "b")).alias("id"), choice.alias("m")).groupBy("id").agg(F.min("m").alias("m"))
+        choice = F.struct("h", "a", "b", "s", "na", "nb")
+        nearest = pairs.withColumn("h", height).select(F.explode(F.array("a", "b")).alias("id"), choice.alias("m")).groupBy("id").agg(F.min("m").alias("m"))
+        # One row per remaining cluster, at most MAX_MICRO; a pair chosen from both ends merges.
+        votes = Counter(nearest.select("m.h", "m.a", "m.b", "m.s", "m.na", "m.nb").collect())
+        mutual = [r for r, n in votes.items() if n == 2]
+        if not mutual:
+            return merges
+        merges += [(r["a"], r["b"], r["h"]) for r in mutual]
+        # (old id, new id, new size, spread inside): two rows per merge, a small lookup table.
+        moves = []
+        for r in mutual:
+            size = r["na"] + r["nb"]
+            inner = r["s"] * r["na"] * r["nb"] / (size * size) if ward else 0.0
+            moves += [(r["a"], r["a"], size, inner), (r["b"], r["a"], size, inner)]
+        table = small_table(spark, moves, "old int, new int, size double, inner double")
+        look = lambda x: table.select(F.col("old").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("new", "size", "inner")])
+        moved = pairs.join(look("a"), "a", "left").join(look("b"), "b", "left")
+        side = {
+            x: F.struct(
+                F.coalesce(f"{x}_new", x).alias("id"), F.coalesce(f"{x}_size", f"n{x}").alias("n"), F.coalesce(f"{x}_inner", F.lit(0.0)).alias("v")
+            )
+            for x in ("a", "b")
+        }
+        moved = moved.select("s", "na", "nb", F.least(side["a"], side["b"]).alias("p"), F.greatest(side["a"], side["b"]).alias("q")).filter("p.id <> q.id")
+        grown = moved.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(
+            value.alias("s"), F.first("p.n").alias("na"), F.first("q.n").alias("nb"), (F.first("p.v") + F.first("q.v")).alias("v")
         )
-        joined = nearest.groupBy("m").agg(F.count(F.lit(1)).alias("votes")).filter("votes = 2").select("m.*").collect()
-        merges += [(r["a"], r["b"], r["h"]) for r in joined]
-        left -= len(joined)
-        if left <= 1:
-            break
-        # At most one entry per micro-cluster, so these lookups are bounded by MAX_MICRO.
-        absorbed = {r["b"]: r["a"] for r in joined}
-        spread = {r["a"]: r["s"] * r["w"] for r in joined} if ward else {}
-        moved = sized.withColumns({"x": _lookup(absorbed, "a", F.col("a")), "y": _lookup(absorbed, "b", F.col("b"))})
-        if linkage == "complete":
-            value = F.max("s")
-        elif linkage == "weighted":
-            value = F.avg("s")
-        else:
-            value = F.sum(F.col("na") * F.col("nb") * F.col("s")) / F.sum(F.col("na") * F.col("nb"))
-        grown = moved.filter("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(value.alias("s"))
-        if ward:
-            grown = grown.withColumn("s", F.col("s") - _lookup(spread, "a", F.lit(0.0)) - _lookup(spread, "b", F.lit(0.0)))
-        pairs = cut_lineage(grown)
-        nodes = cut_lineage(nodes.withColumn("id", _lookup(absorbed, "id", F.col("id"))).groupBy("id").agg(F.sum("n").alias("n")))
-    return merges
-
-
-def _lookup(mapping: dict, col: str, default: Column) -> Column:
-    return F.coalesce(F.element_at(F.create_map(*[F.lit(v) for kv in mapping.items() for v in kv]), F.col(col)), default)
+        pairs = cut_lineage(grown.select("a", "b", (F.col("s") - F.col("v")).alias("s"), "na", "nb"))
 
 
 def cut_tree(ids: Sequence[int], merges: Sequence[tuple[int, int, float]], k: int) -> dict[int, int]:
@@ -118,7 +129,7 @@ def hierarchy(
     cuts = {k: cut_tree(ids, merges, k) for k in k_list}
     rows = [(i, *[cuts[k][i] for k in k_list]) for i in ids]
     schema = "label int, " + ", ".join(f"label_k{k} int" for k in k_list)
-    named = df.sparkSession.createDataFrame(rows, schema)
+    named = small_table(df.sparkSession, rows, schema)
     return assigned.select(key, "label").join(named, "label").select(key, *[f"label_k{k}" for k in k_list])
 
 

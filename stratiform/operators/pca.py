@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.operators.describe import cumulative
+from stratiform.session import small_table
 
 
 def _centred_vector(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -30,13 +31,13 @@ def covariance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     row = df.agg(*[F.covar_samp(cols[i], cols[j]).alias(f"{i}_{j}") for i, j in pairs]).first()
     rows = [(cols[i], cols[j], row[f"{min(i, j)}_{max(i, j)}"]) for i in range(d) for j in range(d)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, cov double")
+    return small_table(df.sparkSession, rows, "a string, b string, cov double")
 
 
 def pca_variance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(pc, explained_pct, cumulative_pct)``; one row per component."""
     ratio = pca_fit(df, cols).explainedVariance.toArray()
-    table = df.sparkSession.createDataFrame([(i + 1, float(v) * 100) for i, v in enumerate(ratio)], "pc int, v double")
+    table = small_table(df.sparkSession, [(i + 1, float(v) * 100) for i, v in enumerate(ratio)], "pc int, v double")
     return cumulative(table, "pc", "v", "c").select(
         "pc", F.round("v", 1).alias("explained_pct"), F.round("c", 2).alias("cumulative_pct")
     )
@@ -54,7 +55,7 @@ def _signed_components(model: PCAModel):
 def pca_loadings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     m = _signed_components(pca_fit(df, cols))
     rows = [(f"PC{j + 1}", cols[i], float(m[i, j])) for j in range(m.shape[1]) for i in range(len(cols))]
-    return df.sparkSession.createDataFrame(rows, "pc string, variable string, loading double")
+    return small_table(df.sparkSession, rows, "pc string, variable string, loading double")
 
 
 def pca_project(df: DataFrame, cols: Sequence[str], n: int, key: str) -> DataFrame:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratiform.session import small_table
+
 
 @dataclass(frozen=True)
 class Scaler:
@@ -18,9 +20,7 @@ class Scaler:
     std: tuple[float, ...]
 
     def table(self, spark) -> DataFrame:
-        return spark.createDataFrame(
-            list(zip(self.cols, self.mean, self.std)), "`column` string, mean double, std double"
-        )
+        return small_table(spark, list(zip(self.cols, self.mean, self.std)), "`column` string, mean double, std double")
 
 
 def scaler_fit(df: DataFrame, cols: Sequence[str]) -> Scaler:

@@ -18,6 +18,7 @@ from stratiform.operators import scale, som, tree
 from stratiform.plans import flows
 from stratiform.plans import model_sql as ms
 from stratiform.plans.registry import ctes, query, r, rounded, rs
+from stratiform.session import small_table
 from stratiform.sources import io
 from stratiform.sources.mart import KEY
 
@@ -242,7 +243,7 @@ def _(spark, sf):
     std = flows.model_frame(spark, sf).std
     mix, ll = mi.gmm(std, KEY, X, K)
     rows = [(i, float(w), float(ll)) for i, w in enumerate(mix.weights)]
-    weights = spark.createDataFrame(rows, "label int, weight double, mean_log_likelihood double")
+    weights = small_table(spark, rows, "label int, weight double, mean_log_likelihood double")
     return rounded(ce.Centers.of(X, mix.means).table(spark).join(weights, "label"))
 
 
@@ -528,7 +529,7 @@ def _(spark, sf):
     """Depth, nodes and training size of the tree on the k-means labels."""
     s = flows.segment(spark, sf)
     model, train, _ = flows.explain(s)
-    return spark.createDataFrame([(model.depth, model.numNodes, train.count())], "depth int, nodes int, train_rows bigint")
+    return small_table(spark, [(model.depth, model.numNodes, train.count())], "depth int, nodes int, train_rows bigint")
 
 
 @query("D3_predict")

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cpus: int | str = 8, app: str = "stratiform") -> SparkSession:
@@ -46,3 +50,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     plan nor lose work when an executor is lost."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as a table. Handed over as one Arrow table, so the planner
+    knows its size and joins it by broadcast without being told to."""
+    struct = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in struct.fields]
+    arrow = to_arrow_schema(struct)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), struct)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratiform.session import small_table
+
 
 def read_table(
     spark: SparkSession,
@@ -55,7 +57,7 @@ def describe_sources(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Da
         for t in sorted(tables)
         for i, f in enumerate(tables[t].schema.fields, start=1)
     ]
-    return spark.createDataFrame(rows, "`table` string, position int, `column` string, type string")
+    return small_table(spark, rows, "`table` string, position int, `column` string, type string")
 
 
 def describe_catalog(spark: SparkSession, database: str | None = None) -> DataFrame:
