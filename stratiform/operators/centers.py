@@ -27,6 +27,7 @@ from stratiform.session import small_table
 MAX_CENTERS = 20_000
 INLINE_TERMS = 400
 SEED_ROWS = 10_000
+DIRECT_ROWS = 100_000
 _CHUNK_CELLS = 4_000_000
 
 
@@ -148,27 +149,49 @@ def plus_plus(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarra
     return np.array(chosen)
 
 
-def _sums(df: DataFrame, cols: Sequence[str], runs: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows evenly by key, as many parts as the cluster runs at once or more, so
+    every later scan of the cached rows keeps all cores busy."""
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, key)
+
+
+def n_parts(df: DataFrame) -> int:
+    """Tasks a scan of ``df`` takes; asked once before a loop."""
+    return df.rdd.getNumPartitions()
+
+
+def add_up(parts: DataFrame, keys: Sequence[str], values: Sequence[str], most_rows: int) -> pd.DataFrame:
+    """Total of per-task partial sums. At most ``DIRECT_ROWS`` rows in all come straight
+    to the driver; beyond that the tasks add them up first."""
+    if most_rows <= DIRECT_ROWS:
+        return parts.toPandas().groupby(list(keys), as_index=False)[list(values)].sum()
+    return parts.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values]).toPandas()
+
+
+def _sums(df: DataFrame, cols: Sequence[str], runs: dict[int, np.ndarray], tasks: int) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """One scan for all runs: members, coordinate sums and cost per run and center."""
     cols = list(cols)
     names = [f"s{j}" for j in range(len(cols))]
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc = {r: [np.zeros(len(c)), np.zeros((len(c), len(cols))), np.zeros(len(c))] for r, c in runs.items()}
+        norms = {r: (c * c).sum(axis=1) for r, c in runs.items()}
         for pdf in batches:
             x_all = pdf.to_numpy(dtype=float)
             for part in _chunks(len(x_all), max(len(c) for c in runs.values())):
                 x = x_all[part]
                 norm = (x * x).sum(axis=1)
                 for r, c in runs.items():
-                    d = norm[:, None] - 2.0 * (x @ c.T) + (c * c).sum(axis=1)[None, :]
+                    d = norms[r][None, :] - 2.0 * (x @ c.T)
                     at = d.argmin(axis=1)
-                    own = ((x - c[at]) ** 2).sum(axis=1)
+                    own = np.maximum(d[np.arange(len(x)), at] + norm, 0.0)
+                    member = (at[:, None] == np.arange(len(c))[None, :]).astype(float)
                     n, s, cost = acc[r]
-                    n += np.bincount(at, minlength=len(c))
-                    cost += np.bincount(at, weights=own, minlength=len(c))
-                    for j in range(x.shape[1]):
-                        s[:, j] += np.bincount(at, weights=x[:, j], minlength=len(c))
+                    n += member.sum(axis=0)
+                    s += member.T @ x
+                    cost += own @ member
         rows = [
             (r, i, int(n[i]), float(cost[i]), *map(float, s[i]))
             for r, (n, s, cost) in acc.items()
@@ -178,19 +201,14 @@ def _sums(df: DataFrame, cols: Sequence[str], runs: dict[int, np.ndarray]) -> di
         yield pd.DataFrame(rows, columns=["run", "center", "n", "cost", *names])
 
     schema = "run int, center int, n bigint, cost double, " + ", ".join(f"{s} double" for s in names)
-    total = (
-        df.select(*cols)
-        .mapInPandas(partial, schema)
-        .groupBy("run", "center")
-        .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *[F.sum(s).alias(s) for s in names])
-        .collect()
-    )
+    parts = df.select(*cols).mapInPandas(partial, schema)
+    total = add_up(parts, ["run", "center"], ["n", "cost", *names], tasks * sum(len(c) for c in runs.values()))
     out = {r: (np.zeros(len(c)), np.zeros((len(c), len(cols))), 0.0) for r, c in runs.items()}
-    for row in total:
-        n, s, cost = out[row["run"]]
-        n[row["center"]] = row["n"]
-        s[row["center"]] = [row[x] for x in names]
-        out[row["run"]] = (n, s, cost + row["cost"])
+    for run, rows in total.groupby("run"):
+        n, s, _ = out[run]
+        n[rows["center"]] = rows["n"]
+        s[rows["center"]] = rows[names]
+        out[run] = (n, s, float(rows["cost"].sum()))
     return out
 
 
@@ -203,13 +221,14 @@ def train_runs(
     column variance; one last scan prices every run at its final centers.
     """
     var = df.agg(*[F.var_pop(c).alias(c) for c in cols]).first()
+    tasks = n_parts(df)
     limit = tol * float(np.mean([v or 0.0 for v in var]))
     centers = {i: np.array(s, dtype=float) for i, s in enumerate(starts)}
     live = dict(centers)
     for _ in range(max_iter):
         if not live:
             break
-        sums = _sums(df, cols, live)
+        sums = _sums(df, cols, live, tasks)
         for run in list(live):
             n, s, _ = sums[run]
             new = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], live[run])
@@ -217,7 +236,7 @@ def train_runs(
             centers[run] = live[run] = new
             if moved <= limit:
                 del live[run]
-    final = _sums(df, cols, centers)
+    final = _sums(df, cols, centers, tasks)
     return [(centers[i], final[i][2]) for i in range(len(starts))]
 
 
@@ -230,7 +249,7 @@ def kmeans_many(
     df: DataFrame, key: str, cols: Sequence[str], ks: Sequence[int], n_init: int = 30, seed: int = 0, max_iter: int = 300
 ) -> dict[int, tuple[Centers, float]]:
     """Best of ``n_init`` starts for every ``k``, all trained in the same scans."""
-    data = df.select(key, *cols).persist()
+    data = spread(df.select(key, *cols), key).persist()
     try:
         sample = seed_sample(data, cols, key, seed)
         rng = np.random.default_rng(seed)

@@ -273,10 +273,30 @@ def box_stats(df: DataFrame, cols: Sequence[str], lo: float, hi: float) -> DataF
 
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson matrix in long form ``(a, b, r)``, pairwise complete, in one scan."""
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    row = df.agg(*[_pearson(cols[i], cols[j]).alias(f"{i}_{j}") for i, j in pairs]).first()
-    r = {(i, j): row[f"{i}_{j}"] for i, j in pairs}
+    """Pearson matrix in long form ``(a, b, r)``, pairwise complete.
+
+    One scan finds the columns without NULL, whose deviations serve every pair they are
+    in; only pairs with gaps carry their own. A second scan takes all pairs at once.
+    """
+    first = df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.struct(F.count(c).alias("n"), F.stddev_pop(F.col(c).cast("double")).alias("s")).alias(f"c{i}") for i, c in enumerate(cols)]
+    ).first()
+    dev = [first[f"c{i}"]["s"] if first[f"c{i}"]["n"] == first["rows"] else None for i in range(len(cols))]
+    r: dict[tuple[int, int], float | None] = {}
+    wanted = []
+    for i, j in combinations_with_replacement(range(len(cols)), 2):
+        if dev[i] is None or dev[j] is None:
+            wanted.append(_pearson(cols[i], cols[j]).alias(f"{i}_{j}"))
+        elif dev[i] * dev[j] == 0:
+            r[(i, j)] = None
+        elif i == j:
+            r[(i, j)] = 1.0
+        else:
+            cov = F.covar_pop(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double"))
+            wanted.append((cov / F.lit(dev[i] * dev[j])).alias(f"{i}_{j}"))
+    if wanted:
+        row = df.agg(*wanted).first()
+        r.update({tuple(map(int, name.split("_"))): row[name] for name in row.asDict()})
     rows = [(cols[i], cols[j], r[(min(i, j), max(i, j))]) for i in range(len(cols)) for j in range(len(cols))]
     return _rows(df, rows, "a string, b string, r double")
 

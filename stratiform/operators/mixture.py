@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.operators.centers import distances, plus_plus, seed_sample, train_runs
+from stratiform.operators.centers import add_up, distances, n_parts, plus_plus, seed_sample, spread, train_runs
 
 RIDGE = 1e-6
 BATCH_ROWS = 20_000
@@ -48,7 +48,7 @@ def _log_joint(x: np.ndarray, means: np.ndarray, inv: np.ndarray, const: np.ndar
     return out
 
 
-def _moments(df: DataFrame, cols: Sequence[str], runs: dict, k: int) -> dict:
+def _moments(df: DataFrame, cols: Sequence[str], runs: dict, k: int, tasks: int) -> dict:
     """Per run: component mass, first and second moments, and total log likelihood.
 
     A run is ``("hard", centers)`` for the start, or ``("soft", means, inv, const)``.
@@ -76,17 +76,13 @@ def _moments(df: DataFrame, cols: Sequence[str], runs: dict, k: int) -> dict:
                         ll[r] += float(norm.sum())
                         resp = np.exp(lj - norm)
                     acc[r] += resp.T @ terms
-        rows = [(r, c, p, float(acc[r][c, p])) for r in runs for c in range(k) for p in range(width)]
-        rows += [(r, -1, 0, ll[r]) for r in runs]
-        yield pd.DataFrame(rows, columns=["run", "comp", "pos", "v"])
-
-    total = (
-        df.select(*cols)
-        .mapInPandas(partial, "run int, comp int, pos int, v double")
-        .groupBy("run", "comp", "pos")
-        .agg(F.sum("v").alias("v"))
-        .toPandas()
-    )
+        comp, pos = np.divmod(np.arange(k * width), width)
+        for r in runs:
+            yield pd.DataFrame({"run": r, "comp": comp, "pos": pos, "v": acc[r].ravel()})
+        yield pd.DataFrame({"run": list(ll), "comp": -1, "pos": 0, "v": list(ll.values())})
+
+    parts = df.select(*cols).mapInPandas(partial, "run int, comp int, pos int, v double")
+    total = add_up(parts, ["run", "comp", "pos"], ["v"], tasks * len(runs) * (k * width + 1))
     out = {}
     for r in runs:
         part = total[total["run"] == r]
@@ -110,13 +106,13 @@ def gmm(
     """Best of ``n_init`` starts by mean log likelihood. Every start begins from its own
     k-means solution and stops when the likelihood gains less than ``tol``."""
     d = len(cols)
-    data = df.select(key, *cols).persist()
+    data = spread(df.select(key, *cols), key).persist()
     try:
-        n = data.count()
+        n, tasks = data.count(), n_parts(data)
         rng = np.random.default_rng(seed)
         sample = seed_sample(data, cols, key, seed)
         begun = train_runs(data, cols, [plus_plus(sample, k, rng) for _ in range(n_init)])
-        first = _moments(data, cols, {i: ("hard", c) for i, (c, _) in enumerate(begun)}, k)
+        first = _moments(data, cols, {i: ("hard", c) for i, (c, _) in enumerate(begun)}, k, tasks)
         params = {i: _maximise(first[i][0], n, d) for i in first}
         last = dict.fromkeys(params, -np.inf)
         live = set(params)
@@ -127,7 +123,7 @@ def gmm(
             for i in live:
                 inv, const = Mixture(tuple(cols), *params[i]).whitening()
                 specs[i] = ("soft", params[i][1], inv, const)
-            sums = _moments(data, cols, specs, k)
+            sums = _moments(data, cols, specs, k, tasks)
             for i in list(live):
                 m, ll = sums[i]
                 params[i] = _maximise(m, n, d)

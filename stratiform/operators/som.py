@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.operators.centers import Centers, _sums, assign_nearest, kmeans
+from stratiform.operators.centers import Centers, _sums, assign_nearest, kmeans, n_parts, spread
 
 
 def hex_grid(rows: int, cols: int) -> np.ndarray:
@@ -38,9 +38,9 @@ def radius_plan(rows: int, cols: int, rough: int, fine: int) -> list[float]:
     ]
 
 
-def som_epoch(df: DataFrame, codebook: Centers, grid: np.ndarray, radius: float) -> tuple[Centers, float]:
+def som_epoch(df: DataFrame, codebook: Centers, grid: np.ndarray, radius: float, tasks: int) -> tuple[Centers, float]:
     """One batch update; also the summed squared distance to the old prototypes."""
-    n, s, cost = _sums(df, codebook.cols, {0: codebook.points})[0]
+    n, s, cost = _sums(df, codebook.cols, {0: codebook.points}, tasks)[0]
     h = neighbourhood(grid, radius)
     mass = h @ n
     points = np.where(mass[:, None] > 0, (h @ s) / np.where(mass > 0, mass, 1.0)[:, None], codebook.points)
@@ -61,15 +61,16 @@ def som_fit(
 ) -> tuple[Centers, list[float]]:
     """Codebook after all epochs, and the quantisation cost seen at each epoch. The random
     start draws prototypes uniformly within the range of each column."""
-    data = df.select(key, *cols).persist()
+    data = spread(df.select(key, *cols), key).persist()
     try:
         if start is None:
             lo_hi = data.agg(*[F.min(c) for c in cols], *[F.max(c) for c in cols]).first()
             lo, hi = np.array(lo_hi[: len(cols)], dtype=float), np.array(lo_hi[len(cols) :], dtype=float)
             start = Centers.of(cols, lo + np.random.default_rng(seed).random((rows * columns, len(cols))) * (hi - lo))
+        tasks = n_parts(data)
         grid, book, costs = hex_grid(rows, columns), start, []
         for radius in radii if radii is not None else radius_plan(rows, columns, rough, fine):
-            book, cost = som_epoch(data, book, grid, radius)
+            book, cost = som_epoch(data, book, grid, radius, tasks)
             costs.append(cost)
     finally:
         data.unpersist()
