@@ -28,6 +28,7 @@ MAX_CENTERS = 20_000
 INLINE_TERMS = 400
 SEED_ROWS = 10_000
 DIRECT_ROWS = 100_000
+PART_ROWS = 250_000
 _CHUNK_CELLS = 4_000_000
 
 
@@ -150,10 +151,10 @@ def plus_plus(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarra
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows evenly by key, as many parts as the cluster runs at once or more, so
-    every later scan of the cached rows keeps all cores busy."""
-    spark = df.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Deal the rows evenly by key: one part per core at least, and more once a part would
+    exceed ``PART_ROWS``. Every later scan of the cached rows keeps all cores busy, and
+    tables derived from it join on the key without another shuffle."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PART_ROWS))
     return df.repartition(parts, key)
 
 

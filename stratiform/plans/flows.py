@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratiform.operators import columns as c
 from stratiform.operators import quality as q
-from stratiform.operators.centers import assign_nearest, kmeans, pca_kmeans
+from stratiform.operators.centers import assign_nearest, kmeans, pca_kmeans, spread
 from stratiform.operators.density import dbscan, estimate_bandwidth, mean_shift
 from stratiform.operators.evaluate import compare_methods
 from stratiform.operators.hierarchy import hierarchy
@@ -102,7 +102,8 @@ def valued(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class ModelFrame:
-    """What every clustering starts from."""
+    """What every clustering starts from. ``std`` is cached, dealt by key, so labels made
+    from it join back without a shuffle."""
 
     inside: DataFrame
     outside: DataFrame
@@ -122,7 +123,7 @@ def model_frame(spark: SparkSession, sf_dir: str) -> ModelFrame:
     inside, outside = split_outliers(spark, sf_dir)
     features = q.drop_null_rows(c.model_features(inside, KEY, PREMIUMS))
     scaler = scaler_fit(features, FEATURES)
-    std = scaler_apply(features, scaler).persist()
+    std = spread(scaler_apply(features, scaler), KEY).persist()
     return ModelFrame(inside, outside, features, scaler, std)
 
 
@@ -143,7 +144,7 @@ def density_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = e.join(sales, KEY).select(
         KEY, "gross_sales", F.col("claims_rate").alias("returned_share"), F.col("gross_monthly_salary").alias("balance")
     ).dropna().persist()
-    return scaler_apply(base, scaler_fit(base, DENSITY))
+    return spread(scaler_apply(base, scaler_fit(base, DENSITY)), KEY).persist()
 
 
 DENSITY = ["gross_sales", "returned_share", "balance"]
