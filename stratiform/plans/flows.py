@@ -65,7 +65,10 @@ FEATURES = ["customer_monetary_value", "claims_rate", "cancelled_premiums_pct",
 
 
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.left_join(engage(spark, sf_dir), lob(spark, sf_dir), KEY)
+    """Both customer tables side by side. They share one kept pass over orders and lines;
+    pruned separately they would read and join the lines twice."""
+    per = customer_orders(spark, sf_dir).persist()
+    return c.left_join(engage(spark, sf_dir, per), lob(spark, sf_dir, per), KEY)
 
 
 def filled(df: DataFrame) -> DataFrame:
@@ -139,8 +142,9 @@ CATEGORICAL = [*CATEGORIES, "salary_bin", "tenure_bin"]
 
 def density_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three z-scored columns with visible density structure: sales, returned share, balance."""
-    e = engage(spark, sf_dir)
-    sales = customer_orders(spark, sf_dir).select(F.col("o_custkey").alias(KEY), (F.col("gross") / F.lit(10000.0)).alias("gross_sales"))
+    per = customer_orders(spark, sf_dir).persist()
+    e = engage(spark, sf_dir, per)
+    sales = per.select(F.col("o_custkey").alias(KEY), (F.col("gross") / F.lit(10000.0)).alias("gross_sales"))
     base = e.join(sales, KEY).select(
         KEY, "gross_sales", F.col("claims_rate").alias("returned_share"), F.col("gross_monthly_salary").alias("balance")
     ).dropna().persist()

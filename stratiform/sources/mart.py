@@ -67,11 +67,11 @@ def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def engage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer master data."""
+def engage(spark: SparkSession, sf_dir: str, per: DataFrame | None = None) -> DataFrame:
+    """Customer master data; ``per`` hands in a ``customer_orders`` table already at hand."""
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
-    per = customer_orders(spark, sf_dir)
+    per = customer_orders(spark, sf_dir) if per is None else per
     return (
         customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
         .join(per, customer.c_custkey == per.o_custkey, "left")
@@ -91,8 +91,9 @@ def engage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lob(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lob(spark: SparkSession, sf_dir: str, per: DataFrame | None = None) -> DataFrame:
     """Premium per line of business; NULL means the customer has no such policy."""
-    return customer_orders(spark, sf_dir).select(
+    per = customer_orders(spark, sf_dir) if per is None else per
+    return per.select(
         F.col("o_custkey").alias(KEY), *[(F.col(c) / F.lit(10000.0)).alias(c) for c in PREMIUMS]
     )
