@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratiform.llm import naming
+from stratiform.llm import bestfit, fingerprint, language, mixing, naming, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,47 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def token_file() -> str:
+    """The public tokenizer file the queries use; installed on every node."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_toxicity_crf")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op2_multiset_fingerprint")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_check(documents(spark, sf_dir))
+
+
+@query("op5_source_mixing", mixing.oracle())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+@query("op6_concatenate_and_cut")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.concatenate_and_cut(documents(spark, sf_dir), token_file()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query("op8_cross_parsing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
+@query("op9_best_fit_rows")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.packed_rows(documents(spark, sf_dir), token_file()).select(
+        "shard", "row", "n_tokens", F.crc32("input_ids").alias("ids_crc32"), F.crc32("position_ids").alias("positions_crc32"), "cu_seqlens", "doc_ids", "doc_starts"
+    )
+
+
 @query("op10_block_naming", naming.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.exact_groups(documents(spark, sf_dir))
