@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import bestfit, fingerprint, language, mixing, naming, packing, toxicity
+from stratiform.llm import bestfit, fingerprint, language, mixing, naming, packing, suffixes, superkmers, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_check(documents(spark, sf_dir))
 
 
+@query("op4_super_kmers")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.remove_repeated_words(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op5_source_mixing", mixing.oracle())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
@@ -56,6 +61,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_suffix_array")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256")
+    )
+
+
 @query("op8_cross_parsing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))

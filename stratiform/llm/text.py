@@ -108,30 +108,17 @@ def windows(values: np.ndarray, width: int, seed: int = 11) -> np.ndarray:
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost smallest of ``values[i : i + width]``, for every i that has so
-    many values; blockwise running minima from both sides, so linear in the input."""
+    """Smallest of ``values[i : i + width]`` for every i that has so many values, from running
+    minima of blocks in both directions."""
     n = len(values) - width + 1
     if n <= 0:
-        return np.zeros(0, np.int64)
-    blocks = -(-len(values) // width)
-    padded = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(values)] = values
-    grid = padded.reshape(blocks, width)
+        return np.zeros(0, values.dtype)
+    grid = np.full(-(-len(values) // width) * width, np.iinfo(values.dtype).max, values.dtype)
+    grid[: len(values)] = values
+    grid = grid.reshape(-1, width)
     left = np.minimum.accumulate(grid, axis=1).ravel()
     right = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    smallest = np.minimum(right[:n], left[width - 1 : width - 1 + n])
-    # The leftmost place of the value: its last occurrence seen from the right, at or after i.
-    places = np.arange(len(values))
-    order = np.lexsort((places, values))
-    key = values[order]
-    at = np.searchsorted(key, smallest, "left")
-    unique = (np.concatenate([key[1:] != key[:-1], [True]]) & np.concatenate([[True], key[1:] != key[:-1]]))
-    out = order[at]
-    for i in np.flatnonzero(~unique[at]):
-        lo, hi = at[i], np.searchsorted(key, smallest[i], "right")
-        same = order[lo:hi]
-        out[i] = same[np.searchsorted(same, i)]
-    return out
+    return np.minimum(right[:n], left[width - 1 : width - 1 + n])
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
