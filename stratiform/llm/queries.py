@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import bestfit, fingerprint, language, mixing, naming, packing, suffixes, superkmers, toxicity
+from stratiform.llm import bestfit, fingerprint, jaccard, language, mixing, naming, packing, suffixes, superkmers, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_check(documents(spark, sf_dir))
 
 
+@query("op3_jaccard_regions")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 @query("op4_super_kmers")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_repeated_words(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
