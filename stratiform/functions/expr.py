@@ -7,13 +7,26 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HASH_PRIME = 2_147_483_647
 HASH_FACTOR = 1_103_515_245
 
 
+def missing(df: DataFrame, col: str) -> Column:
+    """NULL, or NaN in a floating column: both are missing everywhere in this package."""
+    c = F.col(col)
+    return c.isNull() | F.isnan(c) if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) else c.isNull()
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """The same table with NULL for NaN in its floating columns."""
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in floating}) if floating else df
+
+
 def count_if_across(cols: Sequence[str], pred: Callable[[Column], Column]) -> Column:
     """How many of ``cols`` satisfy ``pred`` in this row (NULL satisfies nothing)."""
     return reduce(add, (F.when(pred(F.col(c)), 1).otherwise(0) for c in cols))
@@ -41,15 +54,6 @@ def recoded(col: Column, mapping: Mapping) -> Column:
     return out
 
 
-def bin_number(col: Column, edges: Sequence[float]) -> Column:
-    """0-based index of the right-closed interval ``(edge, next edge]``, else NULL."""
-    out = None
-    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
-        cond = (col > F.lit(lo)) & (col <= F.lit(hi))
-        out = F.when(cond, F.lit(i)) if out is None else out.when(cond, F.lit(i))
-    return out
-
-
 def bin_label(col: Column, edges: Sequence[float], labels: Sequence[str], missing: str | None = None) -> Column:
     """Label of the right-closed interval; outside or NULL becomes ``missing``."""
     if len(labels) != len(edges) - 1:

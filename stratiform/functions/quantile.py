@@ -1,7 +1,7 @@
 """Exact quantiles that never put a whole column into one task.
 
 ``F.percentile`` keeps every distinct value of a column in one aggregation buffer.
-That is fine while the row count is known to be small; beyond ``SMALL_ROWS`` the
+That is the shorter plan while the row count is known to be small; beyond ``SMALL_ROWS`` the
 values are located by narrowing brackets: every pass counts the rows per bucket of
 the brackets still open (partial counts per task, a few hundred rows shuffled) and
 keeps the bucket holding the wanted rank, until that bucket holds one distinct
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 100_000
 LIST_ROWS = 100_000
 BUCKETS = 512
 
@@ -108,6 +108,7 @@ def quantile_values(
                 continue
             h = (n - 1) * p
             a, b = at[(c, math.floor(h))], at[(c, math.ceil(h))]
-            vals.append(a if a == b else a + (b - a) * (h - math.floor(h)))
+            # The same arithmetic as F.percentile, so both routes give the same digits.
+            vals.append(a if a == b else (math.ceil(h) - h) * a + (h - math.floor(h)) * b)
         out[c] = vals
     return out

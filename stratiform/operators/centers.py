@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratiform.functions.expr import key_hash
+from stratiform.functions.expr import HASH_PRIME, key_hash
 from stratiform.operators.pca import pca_project
 from stratiform.session import small_table
 
-MAX_CENTERS = 20_000
 INLINE_TERMS = 400
-SEED_ROWS = 10_000
+SEEDS_PER_CENTER = 20
+SEED_ROUNDS = 4
 DIRECT_ROWS = 100_000
 PART_ROWS = 250_000
 _CHUNK_CELLS = 4_000_000
@@ -44,14 +44,6 @@ class Centers:
     def of(cols: Sequence[str], points: np.ndarray) -> Centers:
         return Centers(tuple(cols), tuple(range(len(points))), np.asarray(points, dtype=float))
 
-    @staticmethod
-    def from_table(df: DataFrame, cols: Sequence[str], id_col: str = "label") -> Centers:
-        """Read centers from a table, refusing one too large to ship to every task."""
-        rows = df.select(id_col, *cols).orderBy(id_col).limit(MAX_CENTERS + 1).collect()
-        if len(rows) > MAX_CENTERS:
-            raise ValueError(f"more than {MAX_CENTERS} centers")
-        return Centers(tuple(cols), tuple(r[0] for r in rows), np.array([list(r)[1:] for r in rows], dtype=float))
-
     def table(self, spark: SparkSession, id_col: str = "label") -> DataFrame:
         schema = f"`{id_col}` int, " + ", ".join(f"`{c}` double" for c in self.cols)
         return small_table(spark, [(int(i), *map(float, p)) for i, p in zip(self.ids, self.points)], schema)
@@ -131,20 +123,53 @@ def lloyd_rounds(df: DataFrame, start: Centers, rounds: int) -> Centers:
     return now
 
 
-def seed_sample(df: DataFrame, cols: Sequence[str], key: str, seed: int, rows: int = SEED_ROWS) -> np.ndarray:
-    """At most ``rows`` rows in hash order of the key, for choosing start points only."""
-    picked = df.select(key, *cols).orderBy(key_hash(F.col(key), seed), key).limit(rows).select(*cols)
-    return picked.toPandas().to_numpy(dtype=float)
+def seed_points(df: DataFrame, cols: Sequence[str], key: str, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates for start points drawn from all rows, and how many rows each stands for.
+
+    Each round scans the rows once and draws ``SEEDS_PER_CENTER * k`` of them without
+    replacement, with probability proportional to the squared distance to what was drawn
+    before (the first round: any row). So a small far group is found whatever the number of
+    rows. The draw is by key hash: a row's place in the order of ``-log(u) / distance**2``.
+    """
+    cols, each = list(cols), SEEDS_PER_CENTER * k
+    drawn = np.zeros((0, len(cols)))
+    for round_ in range(SEED_ROUNDS):
+        known = drawn
+
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                x, u = pdf[cols].to_numpy(dtype=float), pdf["__u"].to_numpy()
+                near = np.ones(len(x))
+                if len(known):
+                    for part in _chunks(len(x), len(known)):
+                        near[part] = distances(x[part], known).min(axis=1)
+                with np.errstate(divide="ignore"):
+                    pdf["__e"] = np.where(near > 0, -np.log(u) / near, np.inf)
+                yield pdf[["__e", "__u", *cols]]
+
+        u = (key_hash(F.col(key), seed + 7919 * round_) + 1) / (HASH_PRIME + 1)
+        rows = df.select(u.alias("__u"), *cols).mapInPandas(place, "__e double, __u double, " + ", ".join(f"`{c}` double" for c in cols))
+        best = rows.filter("__e < double('infinity')").orderBy("__e", "__u", *cols).limit(each).select(*cols)
+        more = best.toPandas().to_numpy(dtype=float)
+        if not len(more):
+            break
+        drawn = np.unique(np.concatenate([drawn, more]), axis=0)
+    if not len(drawn):
+        return drawn, np.zeros(0)
+    weight, _, _ = _sums(df, cols, {0: drawn}, n_parts(df))[0]
+    return drawn, weight
 
 
-def plus_plus(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+def plus_plus(sample: np.ndarray, k: int, rng: np.random.Generator, weight: np.ndarray | None = None) -> np.ndarray:
     """Start points drawn with probability proportional to the squared distance to
-    the points already drawn."""
-    chosen = [sample[rng.integers(len(sample))]]
-    nearest = ((sample - chosen[0]) ** 2).sum(axis=1)
+    the points already drawn, times the weight."""
+    weight = np.ones(len(sample)) if weight is None else weight
+    first = rng.choice(len(sample), p=weight / weight.sum())
+    chosen, nearest = [sample[first]], ((sample - sample[first]) ** 2).sum(axis=1)
     while len(chosen) < k:
-        total = nearest.sum()
-        pick = rng.choice(len(sample), p=nearest / total) if total > 0 else rng.integers(len(sample))
+        share = nearest * weight
+        total = share.sum()
+        pick = rng.choice(len(sample), p=share / total) if total > 0 else rng.integers(len(sample))
         chosen.append(sample[pick])
         nearest = np.minimum(nearest, ((sample - sample[pick]) ** 2).sum(axis=1))
     return np.array(chosen)
@@ -252,9 +277,9 @@ def kmeans_many(
     """Best of ``n_init`` starts for every ``k``, all trained in the same scans."""
     data = spread(df.select(key, *cols), key).persist()
     try:
-        sample = seed_sample(data, cols, key, seed)
+        sample, weight = seed_points(data, cols, key, max(ks), seed)
         rng = np.random.default_rng(seed)
-        plan = [(k, plus_plus(sample, k, rng)) for k in ks for _ in range(n_init if k > 1 else 1)]
+        plan = [(k, plus_plus(sample, k, rng, weight)) for k in ks for _ in range(n_init if k > 1 else 1)]
         fitted = train_runs(data, cols, [s for _, s in plan], max_iter)
     finally:
         data.unpersist()

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from stratiform.functions.expr import bin_label, percent_label
 from stratiform.functions.quantile import quantile_values
+from stratiform.functions.skew import salted_join
 from stratiform.operators.columns import melt
 from stratiform.session import small_table
 
@@ -31,15 +32,6 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> Dat
     return _rows(df, [(c, float(p), v) for c in cols for p, v in zip(probs, q[c])], "`column` string, p double, value double")
 
 
-def quantiles_approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
-    """Opt-in single-scan variant with rank error at most 1/accuracy."""
-    one = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(c) for c in cols])
-    long = one.unpivot([], list(cols), "column", "q")
-    return long.select("column", F.posexplode("q").alias("i", "value")).select(
-        "column", F.element_at(F.array(*map(F.lit, probs)), F.col("i") + 1).alias("p"), "value"
-    )
-
-
 _NUMERIC_SCHEMA = (
     "`column` string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
 )
@@ -65,30 +57,26 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, distinct values, most frequent value (ties: lowest) and its frequency."""
+    """Count, distinct values, most frequent value (ties: lowest) and its frequency, of any
+    type by its text. A column of NULLs is a row with count 0."""
     long = df.select([F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "v")
-    per_value = long.filter(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    per_value = long.groupBy("column", "v").agg(F.count("v").alias("n"))
     return per_value.groupBy("column").agg(
         F.sum("n").alias("count"),
-        F.count(F.lit(1)).alias("n_distinct"),
-        F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("top"),
-        F.max("n").alias("freq"),
+        F.count("v").alias("n_distinct"),
+        F.min_by("v", F.when(F.col("v").isNotNull(), F.struct(-F.col("n"), F.col("v")))).alias("top"),
+        F.max(F.when(F.col("n") > 0, F.col("n"))).alias("freq"),
     )
 
 
 def describe_all(df: DataFrame) -> DataFrame:
-    """All columns in one table; measures that do not apply to a type are NULL."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    """Every column in one table; measures that do not apply to a type are NULL."""
     nums = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    parts = []
-    if nums:
-        parts.append(describe_numeric(df, nums))
-    if text:
-        parts.append(describe_text(df, text))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    rest = [c for c in df.columns if c not in nums]
+    if not nums:
+        return describe_text(df, rest)
+    parts = describe_numeric(df, nums)
+    return parts.unionByName(describe_text(df, rest), allowMissingColumns=True) if rest else parts
 
 
 def group_count(df: DataFrame, by: str, col: str) -> DataFrame:
@@ -172,7 +160,8 @@ def kde(df: DataFrame, col: str, grid: Sequence[float], by: str | None = None, b
     One average per grid point in a single aggregate: rows are never multiplied by
     the grid. Scott's rule sets the bandwidth from the count and sample deviation of
     the category unless one is given. A category with one row or no spread has no
-    density and gives no rows.
+    density and gives no rows. A category may hold most of the rows: its bandwidth is
+    looked up under a salt, and the averages are formed before anything is shuffled.
     """
     x = F.col(col).cast("double")
     keys = [by] if by else []
@@ -180,7 +169,7 @@ def kde(df: DataFrame, col: str, grid: Sequence[float], by: str | None = None, b
     if bandwidth is None:
         width = (F.stddev_samp("x") * F.pow(F.count(F.lit(1)), F.lit(-0.2))).alias("h")
         if by:
-            data = data.join(data.groupBy(by).agg(width), by)
+            data = salted_join(data, data.groupBy(by).agg(width), [by], F.col("x"))
         else:
             data = data.withColumn("h", F.lit(data.agg(width).first()["h"]))
     else:

@@ -17,10 +17,10 @@ from stratiform.functions.expr import key_hash
 from stratiform.functions.rank import ranked as ranked_rows
 from stratiform.operators.centers import Centers, assign_nearest, distances, kmeans_many, train_runs
 from stratiform.operators.columns import attach_labels
-from stratiform.session import small_table
+from stratiform.session import cut_lineage, small_table
 
 BLOCK_ROWS = 4096
-MAX_LABELS = 10_000
+SCORE_CELLS = 4_000_000
 
 
 def _label_sums(members: DataFrame, key: str, cols: Sequence[str], label_cols: Sequence[str], block_rows: int) -> DataFrame:
@@ -125,6 +125,12 @@ def silhouette_score(df: DataFrame, labels: DataFrame, key: str, cols: Sequence[
     return silhouette_samples(df, labels, key, cols, block_rows=block_rows).agg(F.avg("silhouette").alias("silhouette"))
 
 
+def chunked(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for i in range(0, len(pdf), rows):
+            yield pdf.iloc[i : i + rows]
+
+
 def silhouette_bounds(df: DataFrame, labels: DataFrame, key: str, cols: Sequence[str], cells: int = 128, seed: int = 0) -> DataFrame:
     """Proven lower and upper bound of the mean silhouette in time linear in the rows.
 
@@ -145,8 +151,6 @@ def silhouette_bounds(df: DataFrame, labels: DataFrame, key: str, cols: Sequence
             .collect()
         )
         label_ids = sorted({r["label"] for r in rows})
-        if len(label_ids) > MAX_LABELS:
-            raise ValueError(f"more than {MAX_LABELS} labels")
         slot = {v: i for i, v in enumerate(label_ids)}
         points = np.array([[r[c] for c in cols] for r in rows], dtype=float)
         count = np.array([r["n"] for r in rows], dtype=float)
@@ -156,7 +160,7 @@ def silhouette_bounds(df: DataFrame, labels: DataFrame, key: str, cols: Sequence
         size = share.sum(axis=0)
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
+            for pdf in chunked(batches, max(1, SCORE_CELLS // len(points))):
                 d2 = distances(pdf[cols].to_numpy(dtype=float), points)
                 own = pdf["label"].map(slot).to_numpy()
                 at = np.arange(len(pdf))
@@ -235,14 +239,12 @@ def silhouette_by_k(
 
 def confusion_matrix(pred: DataFrame, actual: str = "label", predicted: str = "prediction") -> DataFrame:
     """Rows: actual, one column ``p<label>`` per predicted label, zeros kept."""
-    counts = pred.groupBy(actual, predicted).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} label pairs")
-    ids = sorted({int(v) for r in rows for v in (r[actual], r[predicted])})
-    n = {(int(r[actual]), int(r[predicted])): r["n"] for r in rows}
-    schema = "actual int, " + ", ".join(f"p{i} bigint" for i in ids)
-    return small_table(pred.sparkSession, [(a, *[n.get((a, p), 0) for p in ids]) for a in ids], schema)
+    counts = pred.groupBy(F.col(actual).cast("int").alias("actual"), F.col(predicted).cast("int").alias("guess")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = cut_lineage(counts.filter("actual is not null and guess is not null"))
+    labels = pairs.select(F.explode(F.array("actual", "guess")).alias("actual")).distinct()
+    ids = sorted(r["actual"] for r in labels.collect())  # one column each, so as many as the result is wide
+    wide = pairs.groupBy("actual").agg(*[F.coalesce(F.sum(F.when(F.col("guess") == i, F.col("n"))), F.lit(0)).alias(f"p{i}") for i in ids])
+    return labels.join(wide, "actual", "left").select("actual", *[F.coalesce(f"p{i}", F.lit(0)).alias(f"p{i}") for i in ids])
 
 
 def accuracy(pred: DataFrame, actual: str = "label", predicted: str = "prediction") -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.operators.centers import add_up, distances, n_parts, plus_plus, seed_sample, spread, train_runs
+from stratiform.operators.centers import add_up, distances, n_parts, plus_plus, seed_points, spread, train_runs
 
 RIDGE = 1e-6
 BATCH_ROWS = 20_000
@@ -104,14 +104,16 @@ def gmm(
     df: DataFrame, key: str, cols: Sequence[str], k: int, n_init: int = 30, seed: int = 0, max_iter: int = 1000, tol: float = 1e-3
 ) -> tuple[Mixture, float]:
     """Best of ``n_init`` starts by mean log likelihood. Every start begins from its own
-    k-means solution and stops when the likelihood gains less than ``tol``."""
+    k-means solution and stops when the likelihood gains less than ``tol``. All sums are
+    formed around the columns' means, so that large offsets cost no digits."""
     d = len(cols)
-    data = spread(df.select(key, *cols), key).persist()
+    middle = [m or 0.0 for m in df.agg(*[F.avg(c) for c in cols]).first()]
+    data = spread(df.select(key, *[(F.col(c) - F.lit(float(m))).alias(c) for c, m in zip(cols, middle)]), key).persist()
     try:
         n, tasks = data.count(), n_parts(data)
         rng = np.random.default_rng(seed)
-        sample = seed_sample(data, cols, key, seed)
-        begun = train_runs(data, cols, [plus_plus(sample, k, rng) for _ in range(n_init)])
+        sample, weight = seed_points(data, cols, key, k, seed)
+        begun = train_runs(data, cols, [plus_plus(sample, k, rng, weight) for _ in range(n_init)])
         first = _moments(data, cols, {i: ("hard", c) for i, (c, _) in enumerate(begun)}, k, tasks)
         params = {i: _maximise(first[i][0], n, d) for i in first}
         last = dict.fromkeys(params, -np.inf)
@@ -133,7 +135,7 @@ def gmm(
     finally:
         data.unpersist()
     best = max(last, key=last.get)
-    w, means, covs = params[best]
+    w, means, covs = params[best][0], params[best][1] + np.array(middle), params[best][2]
     order = np.lexsort(means.T[::-1])
     return Mixture(tuple(cols), w[order], means[order], covs[order]), last[best]
 

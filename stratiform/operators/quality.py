@@ -9,11 +9,12 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratiform.functions.expr import missing
 from stratiform.functions.quantile import quantile_values
 
 
-def _any_null(cols: Sequence[str]) -> Column:
-    return reduce(or_, (F.col(c).isNull() for c in cols))
+def _any_null(df: DataFrame, cols: Sequence[str]) -> Column:
+    return reduce(or_, (missing(df, c) for c in cols))
 
 
 def _long(one_row: DataFrame, names: Sequence[str], value: str) -> DataFrame:
@@ -26,12 +27,13 @@ def drop_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 
 def drop_null_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    return df.dropna(how="any", subset=list(cols) if cols else None)
+    """Rows without a missing value; with ``null_rows`` they make up the whole table."""
+    return df.filter(~_any_null(df, cols or df.columns))
 
 
 def null_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Only the rows with a NULL somewhere."""
-    return df.filter(_any_null(cols or df.columns))
+    """Only the rows with a missing value somewhere."""
+    return df.filter(_any_null(df, cols or df.columns))
 
 
 def fences(df: DataFrame, cols: Sequence[str], lo: float, hi: float) -> dict[str, tuple]:
@@ -58,8 +60,8 @@ def quantile_fence(df: DataFrame, cols: Sequence[str], lo: float, hi: float) ->
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """Per column: share of NULL in percent, two decimals."""
-    one = df.agg(*[F.round(F.avg(F.col(c).isNull().cast("int")) * 100, 2).alias(c) for c in df.columns])
+    """Per column: share of missing values in percent, two decimals."""
+    one = df.agg(*[F.round(F.avg(missing(df, c).cast("int")) * 100, 2).alias(c) for c in df.columns])
     return _long(one, df.columns, "pct_null")
 
 
@@ -73,7 +75,7 @@ def zero_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def missing_summary(df: DataFrame) -> DataFrame:
     """Missing cells in total, sum of the column percentages, and row count."""
-    cells = reduce(lambda a, b: a + b, (F.col(c).isNull().cast("bigint") for c in df.columns))
+    cells = reduce(lambda a, b: a + b, (missing(df, c).cast("bigint") for c in df.columns))
     return df.agg(F.sum(cells).alias("missing_cells"), F.count(F.lit(1)).alias("n_rows")).select(
         "missing_cells",
         F.round(F.try_divide(F.col("missing_cells"), F.col("n_rows")) * 100, 2).alias("sum_pct"),
@@ -84,7 +86,7 @@ def missing_summary(df: DataFrame) -> DataFrame:
 def dropna_impact(df: DataFrame) -> DataFrame:
     """Rows before and after dropping rows with a NULL, rows lost, and the share lost."""
     return df.agg(
-        F.count(F.lit(1)).alias("before"), F.count_if(~_any_null(df.columns)).alias("after")
+        F.count(F.lit(1)).alias("before"), F.count_if(~_any_null(df, df.columns)).alias("after")
     ).select(
         "before",
         "after",

@@ -20,7 +20,7 @@ from stratiform.operators.scale import Scaler, scaler_apply, scaler_fit
 from stratiform.operators.tree import fit_tree, label_outliers, split_by_key
 from stratiform.sources.mart import KEY, PREMIUMS, customer_orders, engage, lob
 
-AS_OF_YEAR = 2002
+AS_OF_YEAR = 2025
 FENCE_LO, FENCE_HI = 0.01, 0.99
 BAD_POLICY_YEARS = (2001,)
 BAD_BIRTH_YEARS = (1950,)
@@ -30,8 +30,8 @@ SALARY_EDGES = [0, 1000, 2000, 3000, 4000, 5000, 6000]
 SALARY_LABELS = ["0-1k", "1k-2k", "2k-3k", "3k-4k", "4k-5k", "5k-6k"]
 TENURE_EDGES = [20, 25, 30, 35, 40, 45, 50]
 TENURE_LABELS = ["20-25", "25-30", "30-35", "35-40", "40-45", "45-50"]
-CLAIM_EDGES = [round(i / 10, 1) for i in range(16)]
-CLAIM_LABELS = [f"{10 * i}-{10 * (i + 1)}%" for i in range(15)]
+CLAIM_EDGES = [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1.4, 1.5]
+CLAIM_LABELS = ["0-10%", "10-20%", "20-30%", "30-40%", "40-50%", "50-60%", "60-70%", "70-80%", "80-90%", "90-100%", "100-110%", "110-120%", "120-130%", "130-140%", "140-150%"]
 
 TYPES = {
     "policy_creation_year": "int",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratiform.functions.expr import without_nan
 from stratiform.session import small_table
 
 
@@ -18,7 +19,7 @@ def read_table(
     schema: T.StructType | None = None,
     partition: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """Read one whole table, lazily.
+    """Read one whole table, lazily. NaN becomes NULL.
 
     ``source`` is a folder of Parquet tables (``<name>.parquet``), the word
     ``catalog`` for a metastore table, or a dictionary of JDBC options.
@@ -30,16 +31,16 @@ def read_table(
         reader = spark.read.format("jdbc").options(**source).option("dbtable", name)
         for k, v in (partition or {}).items():
             reader = reader.option(k, v)
-        return reader.load()
+        return without_nan(reader.load())
     if source == "catalog":
-        return spark.table(name)
+        return without_nan(spark.table(name))
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{source}/{name}.parquet")
+    return without_nan(reader.parquet(f"{source}/{name}.parquet"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read CSV with a header under a declared schema (no inference pass over the data)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return without_nan(spark.read.schema(schema).option("header", True).csv(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
@@ -60,12 +61,6 @@ def describe_sources(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Da
     return small_table(spark, rows, "`table` string, position int, `column` string, type string")
 
 
-def describe_catalog(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """The same listing for the tables and views the session catalog knows."""
-    names = [t.name for t in spark.catalog.listTables(database)]
-    return describe_sources(spark, {n: spark.table(f"{database}.{n}" if database else n) for n in names})
-
-
 def shape(df: DataFrame) -> DataFrame:
     """Row and column count, as a one-row table."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
