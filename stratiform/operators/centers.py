@@ -7,7 +7,7 @@ so thirty starts of eight values of k cost as many scans as the slowest one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -272,15 +272,20 @@ def _ordered(points: np.ndarray) -> np.ndarray:
 
 
 def kmeans_many(
-    df: DataFrame, key: str, cols: Sequence[str], ks: Sequence[int], n_init: int = 30, seed: int = 0, max_iter: int = 300
+    df: DataFrame, key: str, cols: Sequence[str], ks: Sequence[int], n_init: int = 30, seed: int = 0, max_iter: int = 300,
+    starts: Mapping[int, Sequence[np.ndarray]] | None = None, tol: float = 1e-4,
 ) -> dict[int, tuple[Centers, float]]:
-    """Best of ``n_init`` starts for every ``k``, all trained in the same scans."""
+    """Best of ``n_init`` starts for every ``k``, all trained in the same scans. ``starts``
+    gives the start points of each k instead of drawing them."""
     data = spread(df.select(key, *cols), key).persist()
     try:
-        sample, weight = seed_points(data, cols, key, max(ks), seed)
-        rng = np.random.default_rng(seed)
-        plan = [(k, plus_plus(sample, k, rng, weight)) for k in ks for _ in range(n_init if k > 1 else 1)]
-        fitted = train_runs(data, cols, [s for _, s in plan], max_iter)
+        if starts is None:
+            sample, weight = seed_points(data, cols, key, max(ks), seed)
+            rng = np.random.default_rng(seed)
+            plan = [(k, plus_plus(sample, k, rng, weight)) for k in ks for _ in range(n_init if k > 1 else 1)]
+        else:
+            plan = [(k, s) for k in ks for s in starts[k]]
+        fitted = train_runs(data, cols, [s for _, s in plan], max_iter, tol)
     finally:
         data.unpersist()
     best: dict[int, tuple[Centers, float]] = {}
@@ -290,18 +295,19 @@ def kmeans_many(
     return best
 
 
-def kmeans(df: DataFrame, key: str, cols: Sequence[str], k: int, n_init: int = 30, seed: int = 0) -> tuple[Centers, float]:
-    """Centers and cost (sum of squared distances) of the best of ``n_init`` starts."""
-    return kmeans_many(df, key, cols, [k], n_init, seed)[k]
+def kmeans(df: DataFrame, key: str, cols: Sequence[str], k: int, n_init: int = 30, seed: int = 0, **how) -> tuple[Centers, float]:
+    """Centers and cost (sum of squared distances) of the best of ``n_init`` starts; ``how``
+    as in ``kmeans_many``."""
+    return kmeans_many(df, key, cols, [k], n_init, seed, **how)[k]
 
 
-def elbow(df: DataFrame, key: str, cols: Sequence[str], k_max: int, n_init: int = 30, seed: int = 0) -> DataFrame:
+def elbow(df: DataFrame, key: str, cols: Sequence[str], k_max: int, n_init: int = 30, seed: int = 0, **how) -> DataFrame:
     """``(k, sse)`` for k = 1 .. k_max inclusive. k = 1 is the total sum of squares, in
     closed form; the rest share their scans."""
     one = df.agg(*[(F.var_pop(c) * F.count(c)).alias(c) for c in cols]).first()
     rows = [(1, float(sum(one)))]
     if k_max > 1:
-        fits = kmeans_many(df, key, cols, range(2, k_max + 1), n_init, seed)
+        fits = kmeans_many(df, key, cols, range(2, k_max + 1), n_init, seed, **how)
         rows += [(k, fits[k][1]) for k in sorted(fits)]
     return small_table(df.sparkSession, rows, "k int, sse double")
 
@@ -322,9 +328,15 @@ def compare_init(df: DataFrame, cols: Sequence[str], methods: Sequence[str], k:
     return small_table(df.sparkSession, rows, schema)
 
 
-def pca_kmeans(df: DataFrame, key: str, cols: Sequence[str], n: int, k: int, n_init: int = 30, seed: int = 0) -> tuple[DataFrame, Centers]:
+def pca_kmeans(
+    df: DataFrame, key: str, cols: Sequence[str], n: int, k: int, n_init: int = 30, seed: int = 0, start_keys: Sequence[int] | None = None, **how
+) -> tuple[DataFrame, Centers]:
     """k-means on the first ``n`` components: ``(key, label)`` and the component centers.
-    Score the labels on the original columns, not on the components."""
-    projected = pca_project(df, cols, n, key)
-    centers, _ = kmeans(projected, key, [f"PC{i + 1}" for i in range(n)], k, n_init, seed)
+    Score the labels on the original columns, not on the components. ``start_keys`` names
+    ``k`` rows to start from."""
+    projected, names = pca_project(df, cols, n, key), [f"PC{i + 1}" for i in range(n)]
+    if start_keys is not None:
+        rows = projected.filter(F.col(key).isin(*start_keys)).orderBy(key).select(*names).toPandas()
+        how = {**how, "starts": {k: [rows.to_numpy(dtype=float)]}}
+    centers, _ = kmeans(projected, key, names, k, n_init, seed, **how)
     return assign_nearest(projected, centers).select(key, "label"), centers

@@ -228,10 +228,11 @@ def compare_methods(
 
 
 def silhouette_by_k(
-    df: DataFrame, key: str, cols: Sequence[str], k_min: int, k_max: int, n_init: int = 30, seed: int = 0
+    df: DataFrame, key: str, cols: Sequence[str], k_min: int, k_max: int, n_init: int = 30, seed: int = 0, **how
 ) -> DataFrame:
-    """``(k, silhouette)`` for every k in the range, both ends included."""
-    fits = kmeans_many(df, key, cols, range(k_min, k_max + 1), n_init, seed)
+    """``(k, silhouette)`` for every k in the range, both ends included; ``how`` as in
+    ``kmeans_many``."""
+    fits = kmeans_many(df, key, cols, range(k_min, k_max + 1), n_init, seed, **how)
     base = df.select(key, *cols)
     labelings = {str(k): assign_nearest(base, c).select(key, "label") for k, (c, _) in fits.items()}
     return compare_methods(df, labelings, key, cols).select(F.col("method").cast("int").alias("k"), "silhouette")

@@ -101,19 +101,24 @@ def _maximise(m: np.ndarray, n: int, d: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def gmm(
-    df: DataFrame, key: str, cols: Sequence[str], k: int, n_init: int = 30, seed: int = 0, max_iter: int = 1000, tol: float = 1e-3
+    df: DataFrame, key: str, cols: Sequence[str], k: int, n_init: int = 30, seed: int = 0, max_iter: int = 1000, tol: float = 1e-3,
+    starts: Sequence[np.ndarray] | None = None,
 ) -> tuple[Mixture, float]:
     """Best of ``n_init`` starts by mean log likelihood. Every start begins from its own
     k-means solution and stops when the likelihood gains less than ``tol``. All sums are
-    formed around the columns' means, so that large offsets cost no digits."""
+    formed around the columns' means, so that large offsets cost no digits. ``starts`` are
+    centers whose nearest rows make up the first components, instead of k-means."""
     d = len(cols)
     middle = [m or 0.0 for m in df.agg(*[F.avg(c) for c in cols]).first()]
     data = spread(df.select(key, *[(F.col(c) - F.lit(float(m))).alias(c) for c, m in zip(cols, middle)]), key).persist()
     try:
         n, tasks = data.count(), n_parts(data)
-        rng = np.random.default_rng(seed)
-        sample, weight = seed_points(data, cols, key, k, seed)
-        begun = train_runs(data, cols, [plus_plus(sample, k, rng, weight) for _ in range(n_init)])
+        if starts is None:
+            rng = np.random.default_rng(seed)
+            sample, weight = seed_points(data, cols, key, k, seed)
+            begun = train_runs(data, cols, [plus_plus(sample, k, rng, weight) for _ in range(n_init)])
+        else:
+            begun = [(np.asarray(s, dtype=float) - np.array(middle), 0.0) for s in starts]
         first = _moments(data, cols, {i: ("hard", c) for i, (c, _) in enumerate(begun)}, k, tasks)
         params = {i: _maximise(first[i][0], n, d) for i in first}
         last = dict.fromkeys(params, -np.inf)

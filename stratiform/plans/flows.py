@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stratiform.operators import columns as c
 from stratiform.operators import quality as q
 from stratiform.operators.centers import assign_nearest, kmeans, pca_kmeans, spread
+from stratiform.operators import describe as d
 from stratiform.operators.density import dbscan, estimate_bandwidth, mean_shift
 from stratiform.operators.evaluate import compare_methods
 from stratiform.operators.hierarchy import hierarchy
@@ -103,6 +104,49 @@ def valued(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.value_features(cleaned(combined(spark, sf_dir)), PREMIUMS, AS_OF_YEAR)
 
 
+def clean_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(section, name, value)`` of the frame that ``cleaned`` starts from: percent missing
+    per column, rows before and after dropping incomplete ones, rows sharing their key, and
+    violations per rule."""
+    base = filled(combined(spark, sf_dir)).persist()
+    tell = lambda df, section, name, value: df.select(F.lit(section).alias("section"), F.col(name).alias("name"), F.col(value).cast("double").alias("value"))
+    lost = q.dropna_impact(base).unpivot([], ["before", "after"], "name", "value")
+    same = q.duplicate_rows(base, KEY).select(F.lit("duplicate_keys").alias("name"), F.col("duplicate_rows").alias("value"))
+    return (
+        tell(q.null_profile(base), "missing", "column", "pct_null")
+        .unionByName(tell(lost, "rows", "name", "value"))
+        .unionByName(tell(same, "rows", "name", "value"))
+        .unionByName(tell(q.validate(base, validation_rules()), "rule", "rule", "violations"))
+    )
+
+
+RELATED = [("claims_rate", "customer_monetary_value"), ("gross_monthly_salary", "total_premiums"), ("cust_tenure", "total_premiums")]
+
+
+def descriptive_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(section, name, item, value)``: the descriptive views of the customers inside the
+    fences in one long table. The frame is kept once; every section is one aggregate of it."""
+    inside = split_outliers(spark, sf_dir)[0].persist()
+
+    def tell(df, section, name, item, value):
+        return df.select(F.lit(section).alias("section"), F.lit(name).alias("name"), item.cast("string").alias("item"), value.cast("double").alias("value"))
+
+    parts = [tell(d.category_share(inside, x), "count", x, F.col(x), F.col("n")) for x in CATEGORIES]
+    parts.append(tell(d.sum_by_measure(inside, PREMIUMS), "premium_total", "all", F.col("variable"), F.col("total")))
+    positive = inside.agg(*[F.count_if(F.col(x) > 0).alias(x) for x in PREMIUMS]).unpivot([], PREMIUMS, "variable", "n")
+    parts.append(tell(positive, "positive_policies", "all", F.col("variable"), F.col("n")))
+    parts.append(tell(d.reversal_counts(inside, PREMIUMS).filter(F.col("variable").isin(*PREMIUMS)), "reversals", "all", F.col("variable"), F.col("n")))
+    for col, edges, labels in (("claims_rate", CLAIM_EDGES, CLAIM_LABELS), ("gross_monthly_salary", SALARY_EDGES, SALARY_LABELS), ("cust_tenure", TENURE_EDGES, TENURE_LABELS)):
+        binned = c.cut(inside, col, edges, labels, "bin").filter(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(tell(binned, "binned", col, F.col("bin"), F.col("n")))
+    one = inside.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(RELATED)])
+    parts += [tell(one, "correlation", a, F.lit(b), F.col(f"c{i}")) for i, (a, b) in enumerate(RELATED)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @dataclass(frozen=True)
 class ModelFrame:
     """What every clustering starts from. ``std`` is cached, dealt by key, so labels made
