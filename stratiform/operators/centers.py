@@ -328,6 +328,19 @@ def compare_init(df: DataFrame, cols: Sequence[str], methods: Sequence[str], k:
     return small_table(df.sparkSession, rows, schema)
 
 
+def compare_init_labels(df: DataFrame, key: str, cols: Sequence[str], methods: Sequence[str], k: int, seed: int = 0, max_iter: int = 100) -> DataFrame:
+    """``(method, key, label)``: the labels behind ``compare_init``, every row once for each
+    start method."""
+    found = compare_init(df, cols, methods, k, seed, max_iter).collect()
+    out = None
+    for m in methods:
+        mine = sorted((r for r in found if r["method"] == m), key=lambda r: r["label"])
+        centers = Centers(tuple(cols), tuple(r["label"] for r in mine), np.array([[r[c] for c in cols] for r in mine]))
+        part = assign_nearest(df.select(key, *cols), centers).select(F.lit(m).alias("method"), key, "label")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def pca_kmeans(
     df: DataFrame, key: str, cols: Sequence[str], n: int, k: int, n_init: int = 30, seed: int = 0, start_keys: Sequence[int] | None = None, **how
 ) -> tuple[DataFrame, Centers]:

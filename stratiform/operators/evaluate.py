@@ -15,25 +15,30 @@ from pyspark.sql import types as T
 
 from stratiform.functions.expr import key_hash
 from stratiform.functions.rank import ranked as ranked_rows
+from stratiform.functions.skew import salted_join
 from stratiform.operators.centers import Centers, assign_nearest, distances, kmeans_many, train_runs
 from stratiform.operators.columns import attach_labels
 from stratiform.session import cut_lineage, small_table
 
 BLOCK_ROWS = 4096
+GROUP_ROWS = 1_000_000
+SIZE_ROWS = 20_000
 SCORE_CELLS = 4_000_000
 
 
 def _label_sums(members: DataFrame, key: str, cols: Sequence[str], label_cols: Sequence[str], block_rows: int) -> DataFrame:
     """``(key, method, own, other, s)``: summed distance from each row to each label.
 
-    Rows are dealt by key hash into blocks of about ``block_rows`` rows, whatever their
-    labels; a task gets two blocks, measures their distances in memory and returns one
-    sum per row and label, for both directions and every labelling at once. No pair of
-    rows leaves a task. The work is quadratic in the rows because the definition is.
+    Rows are dealt by key hash into groups, whatever their labels; a task gets two groups,
+    measures their distances ``block_rows`` by ``block_rows`` and returns one sum per row
+    and label, for both directions and every labelling at once. No pair of rows leaves a
+    task. The work is quadratic in the rows because the definition is; what is shuffled
+    is rows times groups, and the number of groups follows the tasks, not the rows.
     """
     cols, label_cols = list(cols), list(label_cols)
     n = members.count()
-    blocks = max(1, math.ceil(n / block_rows))
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, min(math.ceil(n / block_rows), max(math.ceil(math.sqrt(2 * tasks)), math.ceil(n / GROUP_ROWS))))
     block = F.pmod(key_hash(F.col(key), 7), F.lit(blocks)).cast("int")
     i, j = F.least("__b", "__o"), F.greatest("__b", "__o")
     dealt = (
@@ -44,26 +49,32 @@ def _label_sums(members: DataFrame, key: str, cols: Sequence[str], label_cols: S
         .drop("__o")
     )
 
-    def one_side(q: pd.DataFrame, dist: np.ndarray, r: pd.DataFrame) -> list[pd.DataFrame]:
-        out = []
-        for m, c in enumerate(label_cols):
-            others, at = np.unique(r[c].to_numpy(), return_inverse=True)
-            one_hot = np.zeros((len(r), len(others)))
-            one_hot[np.arange(len(r)), at] = 1.0
-            s = dist @ one_hot
-            for o, other in enumerate(others):
-                out.append(pd.DataFrame({key: q[key].to_numpy(), "method": m, "own": q[c].to_numpy(), "other": other, "s": s[:, o]}))
-        return out
+    def told(q: pd.DataFrame, others: list[np.ndarray], sums: list[np.ndarray]) -> list[pd.DataFrame]:
+        return [
+            pd.DataFrame({key: q[key].to_numpy(), "method": m, "own": q[label_cols[m]].to_numpy(), "other": other, "s": s[:, o]})
+            for m, s in enumerate(sums)
+            for o, other in enumerate(others[m])
+        ]
 
     def pair(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = pdf[pdf["__left"]], pdf[~pdf["__left"]]
         same = len(b) == 0
         if same:
             b = a
-        dist = np.sqrt(distances(a[cols].to_numpy(dtype=float), b[cols].to_numpy(dtype=float)))
-        parts = one_side(a, dist, b)
+        x, y = a[cols].to_numpy(dtype=float), b[cols].to_numpy(dtype=float)
+        coded = [[np.unique(side[c].to_numpy(), return_inverse=True) for c in label_cols] for side in (a, b)]
+        to_b = [np.zeros((len(a), len(v))) for v, _ in coded[1]]
+        to_a = [np.zeros((len(b), len(v))) for v, _ in coded[0]]
+        for p in range(0, len(a), block_rows):
+            for q in range(0, len(b), block_rows):
+                dist = np.sqrt(distances(x[p : p + block_rows], y[q : q + block_rows]))
+                for m in range(len(label_cols)):
+                    to_b[m][p : p + block_rows] += dist @ np.eye(to_b[m].shape[1])[coded[1][m][1][q : q + block_rows]]
+                    if not same:
+                        to_a[m][q : q + block_rows] += dist.T @ np.eye(to_a[m].shape[1])[coded[0][m][1][p : p + block_rows]]
+        parts = told(a, [v for v, _ in coded[1]], to_b)
         if not same:
-            parts += one_side(b, dist.T, a)
+            parts += told(b, [v for v, _ in coded[0]], to_a)
         return pd.concat(parts)
 
     schema = T.StructType(
@@ -87,8 +98,15 @@ def _samples(members: DataFrame, key: str, cols: Sequence[str], label_cols: Sequ
         F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(c).alias("other")) for m, c in enumerate(label_cols)])).alias("t")
     ).groupBy("t.method", "t.other").agg(F.count(F.lit(1)).alias("n"))
     own = F.col("own") == F.col("other")
+    # Sizes are one row per label and method: few enough, they travel as a table of known
+    # size; else they are looked up under a salt, as one label may hold most rows.
+    head = sizes.limit(SIZE_ROWS + 1).collect()
+    if len(head) <= SIZE_ROWS:
+        with_size = sums.join(small_table(members.sparkSession, [tuple(r) for r in head], "method int, other int, n bigint"), ["method", "other"])
+    else:
+        with_size = salted_join(sums, sizes, ["method", "other"], F.col(key))
     per_row = (
-        sums.join(sizes, ["method", "other"])
+        with_size
         .groupBy(key, "method", "own")
         .agg(
             F.max(F.when(own, F.try_divide(F.col("s"), F.col("n") - 1))).alias("a"),

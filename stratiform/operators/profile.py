@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.operators.columns import attach_labels, melt
 from stratiform.operators.pca import pca_project
-from stratiform.operators.scale import Scaler, scaler_invert
+from stratiform.operators.scale import Scaler, scaler_apply, scaler_invert
 
 NOISE = -1
 
@@ -36,6 +36,29 @@ def cluster_profile(df: DataFrame, labels: DataFrame, key: str, cols: Sequence[s
     return scaler_invert(means, stats) if stats else means
 
 
+def profiles_by_method(df: DataFrame, labelings: Mapping[str, DataFrame], key: str, cols: Sequence[str], stats: Scaler | None = None) -> DataFrame:
+    """``(method, label, <means>, n)`` of several labelings, noise left out: rows are read once
+    and averaged under each of their labels."""
+    members = df.select(key, *cols)
+    for i, labels in enumerate(labelings.values()):
+        members = members.join(labels.select(key, F.col("label").cast("int").alias(f"__l{i}")), key, "left")
+    under = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"__l{i}").alias("label")) for i, m in enumerate(labelings)]))
+    rows = members.withColumn("__t", under).select("__t.method", "__t.label", *cols).filter(F.col("label") != NOISE)
+    means = rows.groupBy("method", "label").agg(*[F.avg(c).alias(c) for c in cols], F.count(F.lit(1)).alias("n"))
+    return scaler_invert(means, stats) if stats else means
+
+
+def outlier_comparison(inside: DataFrame, whole: DataFrame, key: str, cols: Sequence[str], stats: Scaler) -> DataFrame:
+    """``(rows, label, variable, mean, n, stderr)`` on the scaled columns, without and with the
+    labelled outliers; both frames hold the key, the columns and a label."""
+    out = None
+    for name, frame in (("inside", inside), ("with_outliers", whole)):
+        scaled = scaler_apply(frame.select(key, *cols), stats)
+        part = cluster_profile_long(scaled, frame.select(key, "label"), key, cols).withColumn("rows", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def cluster_profile_long(df: DataFrame, labels: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """``(label, variable, mean, n, stderr)``. The wide aggregate runs first, so rows are
     not multiplied by the number of columns."""

@@ -14,6 +14,7 @@ from stratiform.operators import evaluate as ev
 from stratiform.operators import kmodes as km
 from stratiform.operators import mixture as mi
 from stratiform.operators import pca
+from stratiform.operators import profile as pr
 from stratiform.operators import tree
 from stratiform.plans import flows
 from stratiform.plans import model_sql as ms
@@ -184,6 +185,36 @@ def _(spark, sf):
     return rounded(ev.compare_methods(std, {"by_key": fixed_labels(std)}, KEY, X, exclude_noise=True))
 
 
+@query(
+    "C17_profiles_by_method",
+    ctes("std", ms.lloyd("std", X, K, 1) + f",\nfixed AS (SELECT *, CAST({KEY} % 4 - 1 AS INTEGER) AS label FROM std)")
+    + " UNION ALL ".join(
+        f"SELECT '{n}' AS method, label, {rs_avg}, count(*) AS n FROM {t} WHERE label <> -1 GROUP BY label"
+        for rs_avg in [", ".join(r(f"avg({x})", x) for x in X)]
+        for n, t in (("first", "a0"), ("moved", "a1"), ("by_key", "fixed"))
+    ),
+)
+def _(spark, sf):
+    std = _std(spark, sf)
+    moved = ce.assign_nearest(std, ce.lloyd_rounds(std, first_centers(std, X, K), 1)).select(KEY, "label")
+    return rounded(pr.profiles_by_method(std, {"first": _near_labels(std), "moved": moved, "by_key": fixed_labels(std)}, KEY, X))
+
+
+@query("D7_outlier_comparison")
+def _(spark, sf):
+    """Profiles of the segments on scaled columns, without and with the placed outliers."""
+    s = flows.segment(spark, sf)
+    whole = flows.extend(s, flows.explain(s)[0]).persist()
+    return rounded(pr.outlier_comparison(whole.filter("not outlier"), whole, KEY, X, s.frame.scaler))
+
+
+@query("C5_compare_init_labels", ctes("std") + f"SELECT m AS method, count(DISTINCT {KEY}) AS n FROM std CROSS JOIN (SELECT unnest(['random', 'k-means||']) AS m) GROUP BY m")
+def _(spark, sf):
+    """Every row has one label of each start method."""
+    labels = ce.compare_init_labels(_std(spark, sf), KEY, X, ["random", "k-means||"], K)
+    return labels.filter(F.col("label").between(0, K - 1)).groupBy("method").agg(F.count_distinct(KEY).alias("n"))
+
+
 # ---- flows ---------------------------------------------------------------------------
 
 _RULES = {
