@@ -1,0 +1,141 @@
+"""Density clusters in many columns, where grid cells would hold one row each.
+
+Space is cut into boxes of bounded row count along the widest columns, and every box also
+gets the rows within ``eps`` of it. Each row is judged in the box it belongs to, which
+holds all its neighbours. Boxes return core flags, then the names of their clusters for
+each core row; a row that several boxes hold ties their clusters together, and connected
+components merge them. Output and shuffles are linear in the rows and their copies.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stratiform.functions.components import connected_components
+from stratiform.functions.rank import ranked
+from stratiform.functions.skew import salted_join
+from stratiform.operators.centers import distances
+from stratiform.session import cut_lineage, small_table
+
+BOX_ROWS = 8192
+CHUNK = 512
+WORTH = 0.9  # a cut that leaves more than this share of a box on one side does not pay
+
+
+def _boxes(points: DataFrame, cols: Sequence[str], eps: float, box_rows: int) -> DataFrame:
+    """``points`` with ``box`` and ``home``: the box a row belongs to, and copies for others."""
+    held = cut_lineage(points.withColumns({"box": F.lit(0).cast("bigint"), "home": F.lit(True)}))
+    closed: set[int] = set()
+    while True:
+        rows = held.groupBy("box").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.array(*[F.var_pop(c) for c in cols]).alias("wide"),
+            F.array(*[F.percentile_approx(c, 0.5) for c in cols]).alias("middle"),
+        )
+        # One row per box, and boxes are as many as tables of this size need.
+        cuts = [r for r in rows.filter(F.col("n") > box_rows).collect() if r["box"] not in closed]
+        if not cuts:
+            return held
+        plan = []
+        for r in cuts:
+            axis = int(np.argmax(r["wide"]))
+            plan.append((r["box"], axis, float(r["middle"][axis])))
+        table = small_table(points.sparkSession, plan, "box bigint, axis int, cut double")
+        x = F.element_at(F.array(*[F.col(c).cast("double") for c in cols]), F.col("axis") + 1)
+        left = F.struct((F.col("box") * 2 + 1).alias("box"), (F.col("home") & (x <= F.col("cut"))).alias("home"))
+        right = F.struct((F.col("box") * 2 + 2).alias("box"), (F.col("home") & (x > F.col("cut"))).alias("home"))
+        stay = F.struct(F.col("box"), F.col("home"))
+        sides = F.when(F.col("cut").isNull(), F.array(stay)).otherwise(
+            F.filter(F.array(F.when(x <= F.col("cut") + eps, left), F.when(x > F.col("cut") - eps, right)), lambda s: s.isNotNull())
+        )
+        held = held.join(table, "box", "left").withColumn("t", F.explode(sides)).select(*points.columns, "t.box", "t.home")
+        held = cut_lineage(held)
+        sizes = {r["box"]: r["count"] for r in held.groupBy("box").count().collect()}
+        for r in cuts:
+            for child in (2 * r["box"] + 1, 2 * r["box"] + 2):
+                if sizes.get(child, 0) > WORTH * r["n"]:
+                    closed.add(child)
+
+
+def _windows(x: np.ndarray, asked: np.ndarray, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(asked rows, candidate rows, within)`` in chunks; candidates from the widest column."""
+    axis = int(np.argmax(x.var(axis=0))) if len(x) else 0
+    order = np.argsort(x[:, axis], kind="stable")
+    place = x[order, axis]
+    asked = asked[np.argsort(x[asked, axis], kind="stable")]
+    for i in range(0, len(asked), CHUNK):
+        some = asked[i : i + CHUNK]
+        lo = np.searchsorted(place, x[some[0], axis] - eps * (1 + 1e-9), "left")
+        hi = np.searchsorted(place, x[some[-1], axis] + eps * (1 + 1e-9), "right")
+        near = order[lo:hi]
+        yield some, near, distances(x[some], x[near]) <= eps * eps
+
+
+def _count(cols: list[str], eps: float, min_samples: int):
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, w = pdf[cols].to_numpy(dtype=float), pdf["w"].to_numpy(dtype=float)
+        home = np.flatnonzero(pdf["home"].to_numpy())
+        n = np.zeros(len(x))
+        for some, near, within in _windows(x, home, eps):
+            n[some] = within @ w[near]
+        return pd.DataFrame({"pid": pdf["pid"].to_numpy()[home], "core": n[home] >= min_samples})
+
+    return count
+
+
+def _grow(cols: list[str], eps: float):
+    """``(pid, name, core)``: cluster names (lowest core pid of the box) of core rows, and of
+    the clusters within reach of the box's own border rows."""
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, pid = pdf[cols].to_numpy(dtype=float), pdf["pid"].to_numpy()
+        core = np.flatnonzero(pdf["core"].to_numpy())
+        core = core[np.argsort(pid[core], kind="stable")]
+        name = np.full(len(x), -1, dtype=np.int64)
+        left = core
+        while len(left):  # rows not reached yet, in order of pid: the first names its cluster
+            first, front, left = pid[left[0]], left[:1], left[1:]
+            name[front] = first
+            while len(front):
+                some, front = front[:CHUNK], front[CHUNK:]
+                reached = (distances(x[left], x[some]) <= eps * eps).any(axis=1)
+                name[left[reached]] = first
+                front, left = np.concatenate([front, left[reached]]), left[~reached]
+        out = [pd.DataFrame({"pid": pid[core], "name": name[core], "core": True})]
+        border = np.flatnonzero(pdf["home"].to_numpy() & ~pdf["core"].to_numpy())
+        for some, near, within in _windows(x, border, eps):
+            a, b = np.nonzero(within & (name[near] >= 0)[None, :])
+            out.append(pd.DataFrame({"pid": pid[some[a]], "name": name[near[b]], "core": False}).drop_duplicates())
+        return pd.concat(out)
+
+    return grow
+
+
+def dbscan_boxes(df: DataFrame, key: str, cols: Sequence[str], eps: float, min_samples: int, box_rows: int = BOX_ROWS) -> DataFrame:
+    """``(key, label)`` with the meaning of ``dbscan``: a core row has at least
+    ``min_samples`` rows within ``eps``, itself included; clusters are numbered by their
+    lowest core key; a border row takes the lowest number in reach; noise is -1. Copies of
+    a point are one weighted point. A box is judged by one task: boxes shrink to
+    ``box_rows`` rows unless ``eps`` is so large, measured by the spread of the rows, that
+    cutting no longer separates them."""
+    cols = list(cols)
+    points = df.groupBy(*cols).agg(F.min(key).cast("bigint").alias("pid"), F.count(F.lit(1)).alias("w"))
+    held = _boxes(points, cols, eps, box_rows)
+    flags = held.groupBy("box").applyInPandas(_count(cols, eps, min_samples), "pid bigint, core boolean")
+    held = cut_lineage(held.join(cut_lineage(flags), "pid"))
+    found = cut_lineage(held.groupBy("box").applyInPandas(_grow(cols, eps), "pid bigint, name bigint, core boolean"))
+    core = found.filter("core")
+    least = core.groupBy("pid").agg(F.min("name").alias("least"))
+    ties = core.join(least, "pid").select(F.col("name").alias("a"), F.col("least").alias("b")).distinct()
+    parts = connected_components(core.select(F.col("name").alias("node")).distinct(), ties.filter("a <> b"))
+    numbers = ranked(parts.select("component").distinct(), ["component"]).select("component", (F.col("rank") - 1).cast("int").alias("number"))
+    labels = parts.join(numbers, "component").select(F.col("node").alias("name"), "number")
+    # A cluster may hold most rows, so its number is looked up under a salt.
+    numbered = salted_join(found, labels, ["name"], F.col("pid")).groupBy("pid").agg(F.min("number").alias("number"))
+    placed = points.join(numbered, "pid", "left").select(*cols, F.coalesce("number", F.lit(-1)).alias("label"))
+    return salted_join(df.select(key, *cols), placed, cols, F.col(key)).select(key, "label")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratiform.functions.quantile import quantile_values
+from stratiform.operators.density_boxes import dbscan_boxes
 from stratiform.operators import centers, density, describe, evaluate, mixture, quality
 
 
@@ -72,3 +73,13 @@ def test_mixture_with_a_large_offset(spark):
 def test_both_quantile_routes_give_the_same_digits(spark, p):
     df = spark.range(3000).select(F.sin(F.col("id") * 1.1).alias("x"), (F.col("id") % 7 / 3).alias("y"))
     assert quantile_values(df, ["x", "y"], [p]) == quantile_values(df, ["x", "y"], [p], small_rows=10)
+
+
+@pytest.mark.parametrize("box_rows", [40, 5000])
+def test_boxes_give_the_labels_of_cells(spark, box_rows):
+    r = np.random.default_rng(8)
+    x = np.concatenate([r.normal(0, 0.3, (120, 3)), r.normal(2, 0.4, (100, 3)), r.uniform(-2, 4, (60, 3)), np.zeros((15, 3))])
+    df = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(x)], "key bigint, x double, y double, z double").repartition(4)
+    want = density.dbscan(df, "key", ["x", "y", "z"], 0.45, 6)
+    got = dbscan_boxes(df, "key", ["x", "y", "z"], 0.45, 6, box_rows=box_rows)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
