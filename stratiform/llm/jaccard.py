@@ -52,7 +52,7 @@ def shingle_sets(flat: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> t
     with fewer words has its whole sequence as one; without words it has none."""
     lower = LOWER[flat]
     starts, ends, counts = word_bounds(lower, offsets)
-    word = _HASH.of(_HASH.prefix(lower), starts, ends)
+    word = _HASH.of(lower, starts, ends)
     first = np.cumsum(counts) - counts
     room = np.maximum(0, counts - words + 1)
     text = np.repeat(np.arange(len(counts)), room)

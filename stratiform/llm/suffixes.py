@@ -56,12 +56,18 @@ def sort_directly(places: np.ndarray, keys: np.ndarray, depth: int) -> np.ndarra
             break
         group = np.cumsum(new)[tied]
         key = keys[order[tied] + at]
-        by = np.lexsort((key, group))
-        order[tied] = order[tied][by]
-        key, group = key[by], group[by]
-        fresh = np.ones(len(tied), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
-        new[tied] = fresh
+        differ = np.flatnonzero((key[1:] != key[:-1]) & (group[1:] == group[:-1])) + 1
+        if len(differ):  # groups of equal keys stay as they are
+            mixed = np.zeros(group[-1] + 1, bool)
+            mixed[group[differ]] = True
+            pick = np.flatnonzero(mixed[group])
+            tied, key, group = tied[pick], key[pick], group[pick]
+            by = np.lexsort((key, group))
+            order[tied] = order[tied][by]
+            key = key[by]
+            fresh = np.ones(len(tied), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
+            new[tied] = fresh
         at += 8
     return order
 

@@ -38,7 +38,7 @@ NO_ID = -(2**63)
 BUCKETS_PER_TASK = 4
 FLUSH_BYTES = 12 << 20
 _HIGH = np.uint64(0xFFFFFFFF00000000)
-_FIRST, _SECOND = Hasher(101), Hasher(202)
+_HASH = Hasher(101)
 
 
 @dataclass(frozen=True)
@@ -63,13 +63,11 @@ class Slice:
             padded = np.append(flat, np.uint8(32))
             self.flat, self.at = gather(padded, self.starts, ends - self.starts + 1)
             self.flat[self.at[1:] - 1] = 32
-            values = _FIRST.of(_FIRST.prefix(flat), self.starts, ends)
+            values = _HASH.of(flat, self.starts, ends)
             grams = windows(values, unit.gram)
         else:
             self.flat, self.bounds, self.at = flat, offsets, None
-            n = max(0, len(flat) - unit.gram + 1)
-            places = np.arange(n)
-            grams = _FIRST.of(_FIRST.prefix(flat), places, places + unit.gram)
+            grams = _HASH.grams(flat, unit.gram)
         keys = (grams & _HIGH) | np.arange(len(grams), dtype=np.uint64)
         least = sliding_min(keys, unit.width - unit.gram + 1)
         room = np.maximum(0, np.diff(self.bounds) - unit.width + 1)
@@ -83,14 +81,14 @@ class Slice:
         self.count = np.diff(np.append(head, len(start)))
         self.anchor = grams[place[head]]
 
-    def strings(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(bytes, offsets, first unit within the text)`` of the chosen super-k-mers."""
+    def strings(self, pick: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """The bytes of the chosen super-k-mers, and their first units within their texts."""
         low, high = self.first[pick], self.first[pick] + self.count[pick] + self.unit.width - 1
         local = low - self.bounds[self.doc[pick]]
         if self.at is not None:
             low, high = self.at[low], self.at[high]
-        out, offsets = gather(self.flat, low, high - low)
-        return out, offsets, local
+        raw = self.flat.tobytes()
+        return [raw[a:b] for a, b in zip(low.tolist(), high.tolist())], local
 
 
 def _minimisers(unit: Unit):
@@ -106,7 +104,7 @@ def _minimisers(unit: Unit):
                 distinct, inverse, count = np.unique(anchor, return_inverse=True, return_counts=True)
                 again = count[inverse] > 1
                 doc = ids[row + part.doc]
-                known = np.unique(np.stack([part.doc[again], inverse[again]]), axis=1)
+                known = np.stack(np.divmod(np.unique(part.doc[again] * len(distinct) + inverse[again]), max(1, len(distinct))))
                 tell = distinct[count > 1]
                 pieces = [
                     (anchor[~again], 0, doc[~again], anchor[~again]),
@@ -157,30 +155,29 @@ def _pack(unit: Unit, buckets: int):
     import zstandard
 
     def emit(held):
-        text, sizes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-        anchor, count, doc, digest, local = (np.concatenate([h[k] for h in held]) for k in range(2, 7))
-        begin = np.cumsum(sizes) - sizes
-        # Equal strings once; told apart by 128 bits of hash.
-        one, two = (h.of(h.prefix(text), begin, begin + sizes) for h in (_FIRST, _SECOND))
+        anchor, count, doc, digest, local = (np.concatenate([h[k] for h in held]) for k in range(1, 6))
+        text = [s for h in held for s in h[0]]
+        # Equal strings once, wherever they occur.
+        places: dict[bytes, int] = {}
+        name = np.array([places.setdefault(s, len(places)) for s in text], np.int64)
         bucket = (anchor % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((two, one, anchor, bucket))
-        new = np.ones(len(order), bool)
-        new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])
-        heads = np.flatnonzero(new)
+        order = np.lexsort((name, anchor, bucket))
+        heads = np.flatnonzero(np.concatenate([[True], name[order][1:] != name[order][:-1]]))
         times = np.diff(np.append(heads, len(order)))
         lead = order[heads]
-        out_bucket = bucket[lead]
-        edges = np.flatnonzero(np.concatenate([[True], out_bucket[1:] != out_bucket[:-1], [True]]))
+        edges = np.flatnonzero(np.concatenate([[True], bucket[lead][1:] != bucket[lead][:-1], [True]]))
         pack = zstandard.ZstdCompressor(level=3)
         names, blobs = [], []
         for a, b in zip(edges[:-1], edges[1:]):
             some = lead[a:b]
             at = order[heads[a] : heads[b] if b < len(heads) else len(order)]
-            body, _ = gather(text, begin[some], sizes[some])
-            header = np.array([len(some), len(at)], "<i8")
-            parts = [header, sizes[some].astype("<u4"), count[some].astype("<u4"), times[a:b].astype("<u4"), doc[at], digest[at], local[at].astype("<i8"), body]
-            names.append(int(out_bucket[a]))
-            blobs.append(pack.compress(b"".join(p.tobytes() for p in parts)))
+            body = [text[i] for i in some]
+            parts = [
+                np.array([len(some), len(at)], "<i8"), np.array([len(s) for s in body], "<u4"), count[some].astype("<u4"), times[a:b].astype("<u4"),
+                doc[at], digest[at], local[at].astype("<i8"),
+            ]
+            names.append(int(bucket[some[0]]))
+            blobs.append(pack.compress(b"".join([p.tobytes() for p in parts] + body)))
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def scan(batches):
@@ -199,9 +196,9 @@ def _pack(unit: Unit, buckets: int):
                 pick = np.flatnonzero(np.isin(part.anchor ^ salt[part.doc], wanted))
                 if not len(pick):
                     continue
-                text, at, local = part.strings(pick)
-                held.append((text, np.diff(at), part.anchor[pick], part.count[pick], ids[row + part.doc[pick]], digests[row + part.doc[pick]], local))
-                amount += len(text)
+                text, local = part.strings(pick)
+                held.append((text, part.anchor[pick], part.count[pick], ids[row + part.doc[pick]], digests[row + part.doc[pick]], local))
+                amount += sum(map(len, text))
                 if amount > FLUSH_BYTES:
                     yield emit(held)
                     held, amount = [], 0
@@ -338,7 +335,7 @@ def judge_words(unit: Unit):
         string = np.repeat(np.arange(len(strings.count)), strings.count)
         window = np.arange(len(string)) - np.repeat(np.cumsum(strings.count) - strings.count, strings.count)
         first = (np.cumsum(words) - words)[string] + window
-        key = windows(_FIRST.of(_FIRST.prefix(strings.text), starts, ends), unit.width)[first]
+        key = windows(_HASH.of(strings.text, starts, ends), unit.width)[first]
         order = np.argsort(key, kind="stable")
         low, high = starts[first[order]], ends[first[order] + unit.width - 1]
         same = _equal_before(strings.text, low, high, key[order])

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 17
 
 # The bytes that separate words, 0x20 and 0x09 to 0x0D.
 BLANKS = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20)
@@ -82,17 +83,38 @@ class Hasher:
         np.cumsum(self.table[flat] * self.powers[: len(flat)], out=out[1:])
         return out
 
-    def of(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((prefix[ends] - prefix[starts]) * self.inverses[starts])
+    def of(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of stretches whose starts and ends both rise; a block of bytes at a time, so
+        that the powers needed stay few and everything fits the processor's cache."""
+        out = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):
+            base = starts[at]
+            to = max(at + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, "right")))
+            prefix = self.prefix(flat[base : ends[to - 1]])
+            s, e = starts[at:to] - base, ends[at:to] - base
+            out[at:to] = mix((prefix[e] - prefix[s]) * self.inverses[s])
+            at = to
+        return out
+
+    def grams(self, flat: np.ndarray, width: int) -> np.ndarray:
+        """Hash of ``flat[i : i + width]`` for every i that has so many bytes."""
+        n = max(0, len(flat) - width + 1)
+        out = np.empty(n, np.uint64)
+        for at in range(0, n, BLOCK_BYTES):
+            to = min(n, at + BLOCK_BYTES)
+            prefix = self.prefix(flat[at : to + width - 1])
+            out[at:to] = mix((prefix[width:] - prefix[:-width]) * self.inverses[: to - at])
+        return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    for _ in range(2):
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+    return x
 
 
 def windows(values: np.ndarray, width: int, seed: int = 11) -> np.ndarray:

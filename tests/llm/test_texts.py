@@ -34,7 +34,9 @@ def test_words_and_hashes():
     assert [bytes(flat[a:b]) for a, b in zip(starts, ends)] == [b"one", b"two", b"three", b"four", b"five"] and counts.tolist() == [2, 0, 2, 1]
     tool = text.Hasher(1)
     same = np.frombuffer(b"abcab-abc", np.uint8)
-    h = tool.of(tool.prefix(same), np.array([0, 3, 6]), np.array([3, 5, 9]))
+    h = tool.of(same, np.array([0, 3, 6]), np.array([3, 5, 9]))
+    grams = tool.grams(same, 3)
+    assert len(grams) == 7 and grams[0] == h[0] == grams[6] and len(set(grams.tolist())) == 6
     assert h[0] == h[2] != h[1]
     out, at = text.gather(same, np.array([6, 0, 4]), np.array([3, 0, 2]))
     assert bytes(out) == b"abcb-" and at.tolist() == [0, 3, 3, 5]
