@@ -13,10 +13,10 @@ two histograms of the sets over ``HIST`` hash buckets, which is never larger.
 3. Regions join recursively. A large region picks classes as pivots, every member goes to
    the Voronoi cell of the nearest one and, as the boundary windows demand, to each cell
    whose pivot is at most twice the threshold farther away. A cell that is small is joined
-   pair by pair. All this uses the histogram distances, so it may only let too much pass.
+   pair by pair, and so is a region that is small from the start. All this uses sizes and
+   histogram distances, so it may only let too much pass.
 4. What passes is compared exactly, shingle by shingle, on the texts. First each member is
-   compared with one near member of its region only; groups that this already connects
-   need no more. Then every near pair of different groups is compared.
+   compared with one near member only; groups that this already connects need no more. Then every near pair of different groups is compared.
 
 Scale: what is frequent comes from counts of all texts, kept for shingles of at least one
 text in ``COMMON``, so the list that travels is bounded by that share and not by the corpus.
@@ -37,12 +37,16 @@ from stratiform.session import cut_lineage
 
 PERCENT = 85
 WORDS = 4
-HIST = 32
+HIST = 256
+FULL = 255
 COMMON = 2000
 SMALL = 16
 CELL = 64
 PIVOTS = 16
 FLUSH = 1 << 22
+LOOKUP_ROWS = 500_000
+SHARE_TEXTS = 1000
+NO_ID = 2**63 - 1
 
 _HASH = Hasher(303)
 
@@ -115,10 +119,11 @@ def _common(words: int, share: int):
 
 
 def _features(words: int, percent: int, common):
-    """``doc_id, class, n, window, hist`` of every text; class is NULL for the empty set."""
+    """``doc_id, class, n, window, hist`` of every text; class is NULL for the empty set. Of the
+    copies that a task meets, the first alone brings its window."""
 
     def scan(batches):
-        frequent = common.value
+        frequent, met = common.value, set()
         for batch in batches:
             for row, n, flat, offsets in slices(batch):
                 values, bounds = shingle_sets(flat, offsets, words)
@@ -129,15 +134,17 @@ def _features(words: int, percent: int, common):
                     late = (frequent[np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)] == values).astype(np.int64)
                 order = np.argsort(2 * text + late, kind="stable")
                 rank = np.arange(len(values)) - np.repeat(bounds[:-1], size)
-                wide = np.where(size > 0, size - -(-percent * size // 100) + 1, 0)
+                names = set_names(values, bounds)
+                first = np.array([x not in met and not met.add(x) for x in names.tolist()], bool)
+                wide = np.where(first & (size > 0), size - -(-percent * size // 100) + 1, 0)
                 taken = values[order][rank < np.repeat(wide, size)]
-                hist = np.zeros((n, HIST), "<u4")
-                np.add.at(hist, (text, (values % np.uint64(HIST)).astype(np.int64)), 1)
+                spot = text * HIST + (values % np.uint64(HIST)).astype(np.int64)
+                hist = np.minimum(np.bincount(spot, minlength=n * HIST), FULL).astype(np.uint8).reshape(n, HIST)
                 ends = np.concatenate([[0], np.cumsum(wide)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(row, n),
-                        pa.array(set_names(values, bounds), mask=size == 0),
+                        pa.array(names, mask=size == 0),
                         pa.array(size.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(taken.view(np.int64))),
                         pa.array([h.tobytes() for h in hist], pa.binary()),
@@ -167,19 +174,52 @@ def _runs(batches, columns: list[str]):
         yield pa.Table.from_batches(rest).select(columns).combine_chunks()
 
 
-def _shared(batches):
-    """The rows of regions that hold at least two classes."""
-    for table in _runs(batches, ["region", "class"]):
-        region, name = (table.column(c).to_numpy() for c in ("region", "class"))
-        if not len(region):
-            continue
-        fresh = np.ones(len(region), bool)
-        fresh[1:] = (region[1:] != region[:-1]) | (name[1:] != name[:-1])
-        region, name = region[fresh], name[fresh]
-        twin = np.zeros(len(region), bool)
-        twin[1:] = region[1:] == region[:-1]
-        twin[:-1] |= twin[1:]
-        yield pa.RecordBatch.from_arrays([pa.array(region[twin]), pa.array(name[twin])], names=["region", "class"])
+def _shared(percent: int):
+    """What the regions with at least two classes hold. Small regions: their pairs ``class, b``
+    of fitting sizes (``region`` is NULL); larger ones: their rows ``region, class``."""
+
+    def scan(batches):
+        for table in _runs(batches, ["region", "class", "n"]):
+            region, name, n = (table.column(c).to_numpy() for c in ("region", "class", "n"))
+            if not len(region):
+                continue
+            fresh = np.ones(len(region), bool)
+            fresh[1:] = (region[1:] != region[:-1]) | (name[1:] != name[:-1])
+            region, name, n = region[fresh], name[fresh], n[fresh].astype(np.int64)
+            head = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
+            size = np.diff(np.append(head, len(region)))
+            small, large = (np.repeat(x, size) for x in (size <= SMALL, size > SMALL))
+            for step in range(1, min(SMALL, len(region))):
+                a = np.flatnonzero(small[:-step] & (region[step:] == region[:-step]))
+                b = a + step
+                fits = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+                a, b = name[a[fits]], name[b[fits]]
+                if len(a):
+                    pair = np.unique(np.stack([a, b]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.nulls(pair.shape[1], pa.int64()), pa.array(pair[0]), pa.array(pair[1])], names=["region", "class", "b"])
+            if large.any():
+                yield pa.RecordBatch.from_arrays([pa.array(region[large]), pa.array(name[large]), pa.nulls(int(large.sum()), pa.int64())], names=["region", "class", "b"])
+
+    return scan
+
+
+def _histograms(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HIST)
+
+
+def _near(percent: int):
+    """The pairs whose histograms leave the threshold within reach."""
+
+    def scan(batches):
+        for batch in batches:
+            a, b = (_histograms(batch.column(c)) for c in ("hist_a", "hist_b"))
+            n = np.concatenate([batch.column(c).to_numpy() for c in ("n_a", "n_b")])
+            at = np.arange(batch.num_rows)
+            keep = Region(n, np.concatenate([a, b]), percent).near(at, at + len(at))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return scan
 
 
 class Region:
@@ -188,14 +228,18 @@ class Region:
     def __init__(self, n: np.ndarray, hist: np.ndarray, percent: int):
         self.n, self.hist, self.percent = n.astype(np.int64), hist, percent
         self.eps = 1 - percent / 100
+        # Counts that are cut off are no metric: no cells then, all pairs are looked at.
+        self.full = bool((hist == FULL).any())
 
     def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the histograms of the pairs leave the threshold within reach; whole numbers."""
+        """Whether the histograms of the pairs leave the threshold within reach; whole numbers.
+        A bucket that is full on both sides may hold any number, so such pairs pass."""
         out = np.zeros(len(a), bool)
-        for at in range(0, len(a), 1 << 18):
-            i, j = a[at : at + (1 << 18)], b[at : at + (1 << 18)]
-            both = np.minimum(self.hist[i], self.hist[j]).sum(axis=1, dtype=np.int64)
-            out[at : at + (1 << 18)] = 100 * both >= self.percent * (self.n[i] + self.n[j] - both)
+        for at in range(0, len(a), 1 << 14):
+            i, j = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
+            least = np.minimum(self.hist[i], self.hist[j])
+            both = least.sum(axis=1, dtype=np.int64)
+            out[at : at + (1 << 14)] = (100 * both >= self.percent * (self.n[i] + self.n[j] - both)) | (least == FULL).any(axis=1)
         return out
 
     def distance(self, members: np.ndarray, pivot: int) -> np.ndarray:
@@ -207,7 +251,7 @@ class Region:
         todo, done = [members], []
         while todo:
             cell = todo.pop()
-            if len(cell) <= CELL:
+            if len(cell) <= CELL or self.full:
                 done.append(cell)
                 continue
             pivots = cell[:: -(-len(cell) // PIVOTS)]
@@ -223,53 +267,36 @@ class Region:
 
 
 def _near_pairs(percent: int, once: bool):
-    """Candidate pairs ``(a, b)`` of classes. ``once``: each member with one near member only;
-    otherwise all near pairs of different groups."""
+    """Candidate pairs ``(a, b)`` of larger regions. ``once``: each member with the first pivot it
+    is near to; otherwise all near pairs of different groups, cell by cell."""
 
     def scan(batches):
         for table in _runs(batches, ["region", "class", "n", "hist", "label"]):
             if not table.num_rows:
                 continue
             region, name, n, label = (table.column(c).to_numpy() for c in ("region", "class", "n", "label"))
-            raw = table.column("hist").combine_chunks()
-            raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
-            hist = np.frombuffer(b"".join(raw.to_pylist()), "<u4").reshape(len(region), HIST)
-            space = Region(n, hist, percent)
-            head = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
-            size = np.diff(np.append(head, len(region)))
+            hist = _histograms(table.column("hist"))
+            head = np.append(np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]])), len(region))
             found = []
-            small = np.repeat(size <= SMALL, size)
-            met = np.zeros(len(region), bool)
-            for step in range(1, SMALL):
-                a = np.flatnonzero(small[:-step] & (region[step:] == region[:-step])) if step < len(region) else np.zeros(0, np.int64)
-                if not len(a):
-                    break
-                b = a + step
-                open_ = ~met[b] if once else label[a] != label[b]
-                a, b = a[open_], b[open_]
-                keep = space.near(a, b)
-                met[b[keep]] = True
-                found.append((name[a[keep]], name[b[keep]]))
-            for k in np.flatnonzero(size > SMALL):
-                members = np.arange(head[k], head[k] + size[k])
+            for low, high in zip(head[:-1], head[1:]):
+                space = Region(n[low:high], hist[low:high], percent)
+                members, group, names = np.arange(high - low), label[low:high], name[low:high]
                 if once:
-                    pivots = members[:PIVOTS]
-                    best = np.stack([space.distance(members, p) for p in pivots]).argmin(axis=0)
-                    a, b = np.where(pivots[best] == members, pivots[0], pivots[best]), members
-                    pairs = [(a[a != b], b[a != b])]
-                elif (label[members] == label[members[0]]).all():
-                    continue
-                else:
-                    pairs = []
+                    rest = members
+                    for pivot in members[:PIVOTS]:
+                        rest = rest[rest > pivot]
+                        close = space.near(np.full(len(rest), pivot), rest)
+                        found.append((np.full(int(close.sum()), names[pivot]), names[rest[close]]))
+                        rest = rest[~close]
+                elif (group != group[0]).any():
                     for cell in space.cells(members):
                         for i in range(0, len(cell), CELL):
                             block = cell[i : i + CELL]
                             a, b = np.repeat(block, len(cell)), np.tile(cell, len(block))
-                            apart = (a < b) & (label[a] != label[b])
-                            pairs.append((a[apart], b[apart]))
-                for a, b in pairs:
-                    keep = space.near(a, b)
-                    found.append((name[a[keep]], name[b[keep]]))
+                            apart = (a < b) & (group[a] != group[b])
+                            a, b = a[apart], b[apart]
+                            keep = space.near(a, b)
+                            found.append((names[a[keep]], names[b[keep]]))
             a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
             if len(a):
                 pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
@@ -279,30 +306,31 @@ def _near_pairs(percent: int, once: bool):
 
 
 def _linked(words: int, percent: int):
-    """The pairs whose texts' sets are within the distance; rows come sorted by ``a``."""
-
-    def sets(column):
-        out = []
-        for _, _, flat, offsets in slices(pa.RecordBatch.from_arrays([column], names=["text"])):
-            values, bounds = shingle_sets(flat, offsets, words)
-            out += [values[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
-        return out
+    """The pairs whose texts' sets are within the distance. Rows come sorted by ``target``, the
+    text of the target itself (``pivot``) before the others; a text whose set is not the
+    class it was fetched for (a row that repeats a doc_id) is passed over."""
 
     def scan(batches):
         last, mine = None, None
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                names = batch.column("a").to_numpy()
-                fresh = np.flatnonzero(np.concatenate([[names[0] != last], names[1:] != names[:-1]]))
-                left = dict(zip(fresh.tolist(), sets(batch.column("text_a").take(pa.array(fresh)))))
-                ok = np.zeros(batch.num_rows, bool)
-                for i, other in enumerate(sets(batch.column("text_b"))):
-                    mine = left.get(i, mine)
-                    both = len(np.intersect1d(mine, other, assume_unique=True))
-                    ok[i] = 100 * both >= percent * (len(mine) + len(other) - both)
-                last = names[-1]
-                yield pa.RecordBatch.from_arrays([pa.array(names[ok]), batch.column("b").filter(pa.array(ok))], names=["a", "b"])
+        for batch in batches:
+            targets, pivots, names = (batch.column(c).to_pylist() for c in ("target", "pivot", "class"))
+            for row, n, flat, offsets in slices(batch):
+                values, bounds = shingle_sets(flat, offsets, words)
+                found = set_names(values, bounds).tolist()
+                a, b = [], []
+                for i in range(n):
+                    target, name = targets[row + i], names[row + i]
+                    if found[i] != name:
+                        continue
+                    own = values[bounds[i] : bounds[i + 1]]
+                    if pivots[row + i]:
+                        last, mine = target, own.copy()
+                    elif last == target:
+                        both = len(np.intersect1d(mine, own, assume_unique=True))
+                        if 100 * both >= percent * (len(mine) + len(own) - both):
+                            a.append(target)
+                            b.append(name)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return scan
 
@@ -325,38 +353,52 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     common = spark.sparkContext.broadcast(np.sort(np.array(frequent, np.int64).view(np.uint64)))
 
     known = cut_lineage(rows.mapInArrow(_features(words, percent, common), "doc_id long, class long, n long, window array<long>, hist binary"))
-    classes = cut_lineage(known.filter("class is not null").groupBy("class").agg(F.min(F.coalesce("doc_id", F.lit(2**63 - 1))).alias("doc_id"), F.first("n").alias("n"), F.first("window").alias("window"), F.first("hist").alias("hist")))
-    placed = classes.select("class", F.explode("window").alias("region"))
-    shared = cut_lineage(placed.repartition(tasks, "region").sortWithinPartitions("region", "class").mapInArrow(_shared, "region long, class long"))
+    classes = cut_lineage(known.filter("class is not null").groupBy("class").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("lead"), F.first("n").alias("n"), F.first("hist").alias("hist")))
+    placed = known.select("class", F.col("n").cast("int").alias("n"), F.explode("window").alias("region"))
+    shared = cut_lineage(placed.repartition(tasks, "region").sortWithinPartitions("region", "class").mapInArrow(_shared(percent), "region long, class long, b long"))
+
+    def with_hist(pairs, side):
+        return pairs.join(classes.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("hist").alias(f"hist_{side}")), side)
 
-    def candidates(labels, once):
-        """Near pairs of the shared regions; with labels, only of regions that hold several groups."""
-        rows = shared if labels is None else shared.join(labels, "class", "left").withColumn("label", F.coalesce("component", "class")).drop("component")
+    fitting = shared.filter("region is null").select(F.col("class").alias("a"), "b").distinct()
+    near = cut_lineage(with_hist(with_hist(fitting, "a"), "b").mapInArrow(_near(percent), "a long, b long"))
+    crowded = shared.filter("region is not null").select("region", "class")
+
+    def of_crowded(labels):
+        """Near pairs of the larger regions; with labels, of those that hold several groups."""
+        rows = crowded.withColumn("label", F.col("class"))
         if labels is not None:
+            rows = crowded.join(labels, "class", "left").select("region", "class", F.coalesce("component", "class").alias("label"))
             mixed = rows.groupBy("region").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed").select("region")
             rows = rows.join(mixed, "region")
-        else:
-            rows = rows.withColumn("label", F.col("class"))
         full = rows.join(classes.select("class", "n", "hist"), "class").repartition(tasks, "region").sortWithinPartitions("region", "class")
-        return full.mapInArrow(_near_pairs(percent, once), "a long, b long").distinct()
+        return full.mapInArrow(_near_pairs(percent, labels is None), "a long, b long")
 
     def verified(pairs):
+        """The links among the pairs. Each text travels to the texts it is compared with: the
+        one of ``a`` to all shares of its group, those of ``b`` to one share each."""
         pairs = cut_lineage(pairs)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "doc_id"), "class")
-        # The text of one row of each class: rows that repeat a doc_id may hold others.
-        own = rows.join(wanted.withColumnRenamed("doc_id", "lead"), F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)) == F.col("lead")).select("class", "text")
-        texts = own.mapInArrow(_of_class(words), "class long, text string").dropDuplicates(["class"])
-        with_b = pairs.join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
-        both = with_b.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
-        return cut_lineage(both.sortWithinPartitions("a").mapInArrow(_linked(words, percent), "a long, b long"))
+        shares = pairs.groupBy("a").agg((F.count(F.lit(1)) / SHARE_TEXTS).cast("int").alias("more"))
+        to_b = pairs.join(shares, "a").select(F.col("b").alias("class"), F.col("a").alias("target"), F.lit(False).alias("pivot"), F.pmod(F.xxhash64("b"), F.col("more") + 1).cast("int").alias("share"))
+        to_a = shares.select(F.col("a").alias("class"), F.col("a").alias("target"), F.lit(True).alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("more"))).alias("share"))
+        wanted = cut_lineage(to_a.unionByName(to_b).join(classes.select("class", "lead"), "class"))
+        # Few enough, they go to the texts; else both sides are shuffled.
+        side = F.broadcast(wanted) if wanted.count() <= LOOKUP_ROWS else wanted
+        own = rows.join(side, F.coalesce(F.col("doc_id"), F.lit(NO_ID)) == F.col("lead")).select("target", "share", "pivot", "class", "text")
+        dealt = own.repartition(tasks, "target", "share").sortWithinPartitions("target", "share", F.desc("pivot"))
+        return cut_lineage(dealt.mapInArrow(_linked(words, percent), "a long, b long"))
 
     def joined(links):
         nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         return connected_components(nodes, links).withColumnRenamed("node", "class")
 
-    links = verified(candidates(None, True))
+    # Each class first meets the smallest near one only, so regions agree on whom to compare.
+    smallest = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = verified(smallest.union(of_crowded(None)).distinct())
     labels = joined(links)
-    more = verified(candidates(labels, False))
+    of = lambda side: labels.select(F.col("class").alias(side), F.col("component").alias(f"label_{side}"))
+    apart = near.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+    more = verified(apart.union(of_crowded(labels)).distinct())
     if not more.isEmpty():
         labels = joined(links.union(more))
     named = known.select("doc_id", "class", "n").join(labels, "class", "left").withColumn("group", F.coalesce("component", "class"))
@@ -364,19 +406,6 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     return named.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def _of_class(words: int):
-    """Drops texts whose set is not the class they were fetched for."""
-
-    def scan(batches):
-        for batch in batches:
-            for row, n, flat, offsets in slices(batch):
-                part = batch.slice(row, n)
-                name = set_names(*shingle_sets(flat, offsets, words))
-                yield part.filter(pa.array(part.column("class").to_numpy() == name))
-
-    return scan
-
-
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows whose doc_id is the smallest of their component, in all columns. Rows that
     repeat a kept doc_id stay too; a component of NULL doc_ids only stays as it is."""

@@ -90,8 +90,8 @@ def test_empty_table_and_repeated_rows(spark):
 
 def test_cells_lose_no_near_pair():
     r = np.random.default_rng(5)
-    hist = r.integers(0, 6, (600, jaccard.HIST)).astype("<u4")
-    hist[300:] = np.maximum(0, hist[:300].astype(int) + (r.random((300, jaccard.HIST)) < 0.05)).astype("<u4")
+    hist = r.integers(0, 6, (600, jaccard.HIST)).astype(np.uint8)
+    hist[300:] = np.maximum(0, hist[:300].astype(int) + (r.random((300, jaccard.HIST)) < 0.05)).astype(np.uint8)
     space = jaccard.Region(hist.sum(axis=1), hist, 85)
     cells = space.cells(np.arange(600))
     together = {(min(a, b), max(a, b)) for c in cells for a in c for b in c if a != b}
