@@ -175,8 +175,9 @@ def _runs(batches, columns: list[str]):
 
 
 def _shared(percent: int):
-    """What the regions with at least two classes hold. Small regions: their pairs ``class, b``
-    of fitting sizes (``region`` is NULL); larger ones: their rows ``region, class``."""
+    """What the regions with at least two classes hold, as pairs ``(a, b)``. Small regions: all
+    pairs of fitting sizes. Crowded ones: their smallest class with each other member; so
+    regions of the same texts, which have the same smallest class, become one."""
 
     def scan(batches):
         for table in _runs(batches, ["region", "class", "n"]):
@@ -188,21 +189,26 @@ def _shared(percent: int):
             region, name, n = region[fresh], name[fresh], n[fresh].astype(np.int64)
             head = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
             size = np.diff(np.append(head, len(region)))
-            small, large = (np.repeat(x, size) for x in (size <= SMALL, size > SMALL))
+            small = np.repeat(size <= SMALL, size)
             for step in range(1, min(SMALL, len(region))):
                 a = np.flatnonzero(small[:-step] & (region[step:] == region[:-step]))
                 b = a + step
                 fits = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
-                a, b = name[a[fits]], name[b[fits]]
-                if len(a):
-                    pair = np.unique(np.stack([a, b]), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.nulls(pair.shape[1], pa.int64()), pa.array(pair[0]), pa.array(pair[1])], names=["region", "class", "b"])
-            if large.any():
-                yield pa.RecordBatch.from_arrays([pa.array(region[large]), pa.array(name[large]), pa.nulls(int(large.sum()), pa.int64())], names=["region", "class", "b"])
+                if fits.any():
+                    yield _pairs(name[a[fits]], name[b[fits]], False)
+            lead = np.repeat(name[head], size)
+            member = ~small & (lead != name)
+            if member.any():
+                yield _pairs(lead[member], name[member], True)
 
     return scan
 
 
+def _pairs(a: np.ndarray, b: np.ndarray, crowded: bool) -> pa.RecordBatch:
+    pair = np.unique(np.stack([a, b]), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1]), pa.array(np.full(pair.shape[1], crowded))], names=["a", "b", "crowded"])
+
+
 def _histograms(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HIST)
@@ -266,9 +272,8 @@ class Region:
         return done
 
 
-def _near_pairs(percent: int, once: bool):
-    """Candidate pairs ``(a, b)`` of larger regions. ``once``: each member with the first pivot it
-    is near to; otherwise all near pairs of different groups, cell by cell."""
+def _near_pairs(percent: int):
+    """Near pairs ``(a, b)`` of different groups in crowded regions, cell by cell."""
 
     def scan(batches):
         for table in _runs(batches, ["region", "class", "n", "hist", "label"]):
@@ -277,30 +282,19 @@ def _near_pairs(percent: int, once: bool):
             region, name, n, label = (table.column(c).to_numpy() for c in ("region", "class", "n", "label"))
             hist = _histograms(table.column("hist"))
             head = np.append(np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]])), len(region))
-            found = []
+            found = [np.zeros((2, 0), np.int64)]
             for low, high in zip(head[:-1], head[1:]):
-                space = Region(n[low:high], hist[low:high], percent)
-                members, group, names = np.arange(high - low), label[low:high], name[low:high]
-                if once:
-                    rest = members
-                    for pivot in members[:PIVOTS]:
-                        rest = rest[rest > pivot]
-                        close = space.near(np.full(len(rest), pivot), rest)
-                        found.append((np.full(int(close.sum()), names[pivot]), names[rest[close]]))
-                        rest = rest[~close]
-                elif (group != group[0]).any():
-                    for cell in space.cells(members):
-                        for i in range(0, len(cell), CELL):
-                            block = cell[i : i + CELL]
-                            a, b = np.repeat(block, len(cell)), np.tile(cell, len(block))
-                            apart = (a < b) & (group[a] != group[b])
-                            a, b = a[apart], b[apart]
-                            keep = space.near(a, b)
-                            found.append((names[a[keep]], names[b[keep]]))
-            a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
-            if len(a):
-                pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+                space, group, names = Region(n[low:high], hist[low:high], percent), label[low:high], name[low:high]
+                for cell in space.cells(np.arange(high - low)):
+                    for i in range(0, len(cell), CELL):
+                        block = cell[i : i + CELL]
+                        a, b = np.repeat(block, len(cell)), np.tile(cell, len(block))
+                        apart = (a < b) & (group[a] != group[b])
+                        a, b = a[apart], b[apart]
+                        keep = space.near(a, b)
+                        found.append(np.stack([names[a[keep]], names[b[keep]]]))
+            pair = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pair.min(axis=0)), pa.array(pair.max(axis=0))], names=["a", "b"])
 
     return scan
 
@@ -355,24 +349,20 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     known = cut_lineage(rows.mapInArrow(_features(words, percent, common), "doc_id long, class long, n long, window array<long>, hist binary"))
     classes = cut_lineage(known.filter("class is not null").groupBy("class").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("lead"), F.first("n").alias("n"), F.first("hist").alias("hist")))
     placed = known.select("class", F.col("n").cast("int").alias("n"), F.explode("window").alias("region"))
-    shared = cut_lineage(placed.repartition(tasks, "region").sortWithinPartitions("region", "class").mapInArrow(_shared(percent), "region long, class long, b long"))
+    shared = cut_lineage(placed.repartition(tasks, "region").sortWithinPartitions("region", "class").mapInArrow(_shared(percent), "a long, b long, crowded boolean").distinct())
 
     def with_hist(pairs, side):
         return pairs.join(classes.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("hist").alias(f"hist_{side}")), side)
 
-    fitting = shared.filter("region is null").select(F.col("class").alias("a"), "b").distinct()
-    near = cut_lineage(with_hist(with_hist(fitting, "a"), "b").mapInArrow(_near(percent), "a long, b long"))
-    crowded = shared.filter("region is not null").select("region", "class")
+    near = cut_lineage(with_hist(with_hist(shared.select("a", "b").distinct(), "a"), "b").mapInArrow(_near(percent), "a long, b long"))
+    crowded = shared.filter("crowded").select(F.col("a").alias("region"), F.explode(F.array("a", "b")).alias("class")).distinct()
 
     def of_crowded(labels):
-        """Near pairs of the larger regions; with labels, of those that hold several groups."""
-        rows = crowded.withColumn("label", F.col("class"))
-        if labels is not None:
-            rows = crowded.join(labels, "class", "left").select("region", "class", F.coalesce("component", "class").alias("label"))
-            mixed = rows.groupBy("region").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed").select("region")
-            rows = rows.join(mixed, "region")
-        full = rows.join(classes.select("class", "n", "hist"), "class").repartition(tasks, "region").sortWithinPartitions("region", "class")
-        return full.mapInArrow(_near_pairs(percent, labels is None), "a long, b long")
+        """Near pairs of the crowded regions that hold several groups."""
+        rows = crowded.join(labels, "class", "left").select("region", "class", F.coalesce("component", "class").alias("label"))
+        mixed = rows.groupBy("region").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed").select("region")
+        full = rows.join(mixed, "region").join(classes.select("class", "n", "hist"), "class")
+        return full.repartition(tasks, "region").sortWithinPartitions("region", "class").mapInArrow(_near_pairs(percent), "a long, b long")
 
     def verified(pairs):
         """The links among the pairs. Each text travels to the texts it is compared with: the
@@ -394,7 +384,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
 
     # Each class first meets the smallest near one only, so regions agree on whom to compare.
     smallest = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = verified(smallest.union(of_crowded(None)).distinct())
+    links = verified(smallest)
     labels = joined(links)
     of = lambda side: labels.select(F.col("class").alias(side), F.col("component").alias(f"label_{side}"))
     apart = near.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
