@@ -167,6 +167,19 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     return out
 
 
+def _predictions(parser: Parser, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(language, score, phrases for each character)`` of texts; NULL is the empty text."""
+    n = len(texts)
+    known, rate = parser.predict([t or "" for t in texts.to_pylist()])
+    if not parser.languages:
+        return np.full(n, UNKNOWN, dtype=object), np.zeros(n), np.zeros(n)
+    best = rate.argmin(axis=1)
+    power = np.maximum(rate, 1e-9) ** -8.0
+    share, least = power[np.arange(n), best] / power.sum(axis=1), rate[np.arange(n), best]
+    names = np.array([*parser.languages, UNKNOWN], dtype=object)
+    return names[np.where(known, best, len(parser.languages))], np.where(known, share, 0.0), np.where(known, least, 0.0)
+
+
 def identify(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = FOLDS,
     sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
@@ -184,21 +197,10 @@ def identify(
 
     def score(batches):
         parser = shared.value
-        names = np.array([*parser.languages, UNKNOWN], dtype=object)
         for batch in batches:
             for row, n, _, _ in slices(batch, limit=1 << 21):
-                known, rate = parser.predict(batch.column("text").slice(row, n).to_pylist())
-                if parser.languages:
-                    best = rate.argmin(axis=1)
-                    power = np.maximum(rate, 1e-9) ** -8.0
-                    share = power[np.arange(n), best] / power.sum(axis=1)
-                    least = rate[np.arange(n), best]
-                else:
-                    known, best, share, least = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, n), pa.array(names[np.where(known, best, len(parser.languages))], pa.string()), pa.array(np.where(known, share, 0.0)), pa.array(np.where(known, least, 0.0))],
-                    names=["doc_id", "lang_pred", "score", "phrases"],
-                )
+                lang, share, least = _predictions(parser, batch.column("text").slice(row, n))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, n), pa.array(lang, pa.string()), pa.array(share), pa.array(least)], names=["doc_id", "lang_pred", "score", "phrases"])
 
     scored = plain(docs, id_col, text_col).mapInArrow(score, "doc_id long, lang_pred string, score double, phrases double")
     return scored.select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "lang_pred", "score", "phrases")
@@ -206,7 +208,17 @@ def identify(
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents with a language, in all columns: rows whose text is NULL or without a
-    letter go. Their ids come from ``identify``; rows that repeat a doc_id stay when one of
-    them has a language."""
-    named = identify(docs).filter(F.col("lang_pred") != UNKNOWN).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(named, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    letter go, and all of them when nothing was labelled. Rows are judged where they are
+    read, so nothing is shuffled."""
+    samples = labelled_sample(docs, "doc_id", "text", "lang", FOLDS, SAMPLE_DOCS, SAMPLE_CHARS)
+    shared = docs.sparkSession.sparkContext.broadcast(Parser(samples))
+
+    def keep(batches):
+        parser = shared.value
+        for batch in batches:
+            for row, n, _, _ in slices(batch, limit=1 << 21):
+                part = batch.slice(row, n)
+                predicted = _predictions(parser, part.column("text"))[0]
+                yield part.filter(pa.array([lang != UNKNOWN for lang in predicted]))
+
+    return docs.mapInArrow(keep, docs.schema)
