@@ -1,10 +1,10 @@
 """Token ids of whole texts by a public tokenizer file, fast for repeated words.
 
-The tokenizer splits at white space before anything else, so a text's ids are those of
-its words one after another. Words are looked up in a bounded cache per worker; a new
-word of plain letters, digits and signs is cut by the file's own pattern and handed to
-its merge model; anything else, and every text with rare separators, goes through the
-tokenizer whole.
+The tokenizer cuts a text into pieces before it merges, so a text's ids are those of its
+pieces one after another. A text of plain letters, digits, signs and blanks is cut by
+the file's own pattern; its pieces are looked up in a bounded cache per worker, and new
+ones are handed to the file's merge model. Other texts are cut at blanks, and each word
+goes through the tokenizer whole; a text with rare separators does so as one word.
 """
 
 from __future__ import annotations
@@ -21,68 +21,61 @@ from pyspark.sql import functions as F
 
 from stratiform.llm.text import gather, slices
 
-CACHE_WORDS = 400_000
+CACHE_PIECES = 400_000
 
 # The tokenizer file's pattern, written for lower-case ASCII and Latin letters.
 _LETTERS = "a-zß-öø-ÿ"
-_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ \\t\\n\\r\\x0b\\x0c{_LETTERS}0-9]+")
+_PLAIN = re.compile("[ \\t\\n\\r\\x0b\\x0c!-~À-ÖØ-öø-ÿ]*")
 _RARE_BLANKS = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 
 
 class _Index(dict):
-    """Word to its place in the pool of ids; new words are encoded on first sight."""
+    """Piece (or, as a tuple, word) to its place in the pool of ids; encoded on first sight."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode, self.pool, self.ends = encode, array("I"), array("q", [0])
 
-    def __missing__(self, word: str) -> int:
-        self.pool.extend(self.encode(word))
+    def __missing__(self, key) -> int:
+        self.pool.extend(self.encode(key))
         self.ends.append(len(self.pool))
-        self[word] = place = len(self.ends) - 2
+        self[key] = place = len(self.ends) - 2
         return place
 
 
 class WordTokenizer:
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.cache_words = cache_words
+        self.cache_pieces = cache_pieces
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         latin = [chr(c) for c in range(0xC0, 0x100)]
         self.bytes_of = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in latin})
-        self.index = _Index(self._word)
-        self.pieces: dict[str, list[int]] = {}
+        self.index = _Index(self._ids)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
 
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _word(self, word: str) -> list[int]:
-        if "<|" in word or not _PLAIN.fullmatch(word):
-            return self._whole(word)
-        out: list[int] = []
-        for piece in _PIECES.findall(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                mapped = piece if piece.isascii() else piece.translate(self.bytes_of)
-                ids = self.pieces[piece] = [t.id for t in self.model.tokenize(mapped)]
-            out += ids
-        return out
+    def _ids(self, key) -> list[int]:
+        if isinstance(key, tuple):
+            return [key[0]] if isinstance(key[0], int) else self.tokenizer.encode(key[0], add_special_tokens=False).ids
+        return [t.id for t in self.model.tokenize(key if key.isascii() else key.translate(self.bytes_of))]
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another (each followed by ``end_id``), and their offsets."""
-        if len(self.index) > self.cache_words:
-            self.index, self.pieces = _Index(self._word), {}
-        index, tail = self.index, [] if end_id is None else [self._end(end_id)]
+        if len(self.index) > self.cache_pieces:
+            self.index = _Index(self._ids)
+        index = self.index
+        tail = [] if end_id is None else [index[(end_id,)]]
         places: list[int] = []
         counts = np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
-            words = [text] if _RARE_BLANKS.search(text) else text.split()
-            places += map(index.__getitem__, words)
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                keys = _PIECES.findall(text.lower())
+            else:
+                keys = [(w,) for w in ([text] if _RARE_BLANKS.search(text) else text.split())]
+            places += map(index.__getitem__, keys)
             places += tail
             counts[i + 1] = len(places)
         at = np.array(places, np.int64)
@@ -90,14 +83,6 @@ class WordTokenizer:
         ids, bounds = gather(np.array(index.pool, self.dtype), ends[at], ends[at + 1] - ends[at])
         return ids, bounds[counts]
 
-    def _end(self, end_id: int) -> int:
-        key = (end_id,)  # no text holds this key
-        if key not in self.index:
-            self.index.pool.append(end_id)
-            self.index.ends.append(len(self.index.pool))
-            self.index[key] = len(self.index.ends) - 2
-        return self.index[key]
-
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:

@@ -34,7 +34,7 @@ def want_ids(plain, text, end=1):
 
 
 def test_ids_equal_the_tokenizer(plain):
-    tool = tokens.WordTokenizer(token_file(), cache_words=50)
+    tool = tokens.WordTokenizer(token_file(), cache_pieces=50)
     for t in texts():
         ids, at = tool.encode([t or "", t or ""], 1)
         assert ids[: at[1]].tolist() == want_ids(plain, t) == ids[at[1] : at[2]].tolist()
