@@ -9,7 +9,7 @@ two histograms of the sets over ``HIST`` hash buckets, which is never larger.
    last) the nearest pivot of a set is its first shingle. Sets within the distance differ
    in so few shingles that they share one among the first of each, so a set is replicated
    into the regions of as many pivots as the triangle inequality leaves open: a window of
-   ``n - ceil(0.85 n) + 1`` shingles.
+   ``n - ceil(percent n / 100) + 1`` shingles.
 3. Regions join recursively. A large region picks classes as pivots, every member goes to
    the Voronoi cell of the nearest one and, as the boundary windows demand, to each cell
    whose pivot is at most twice the threshold farther away. A cell that is small is joined
@@ -396,8 +396,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     return named.join(smallest, "group", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, percent: int, words: int) -> DataFrame:
     """The rows whose doc_id is the smallest of their component, in all columns. Rows that
-    repeat a kept doc_id stay too; a component of NULL doc_ids only stays as it is."""
-    kept = jaccard_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    repeat a kept doc_id stay too; a component of NULL doc_ids only stays as it is. Texts
+    link by the caller's threshold and shingle length, not by those of op3."""
+    kept = jaccard_components(docs, percent, words).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_semi")

@@ -156,3 +156,13 @@ def test_pipeline_stages(spark, plain):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_near_copies_of_five_words_at_80_percent_go(spark):
+    """104 words hold 100 shingles of five words: 25 words more leave 0.8, 26 leave less."""
+    base = lambda k: [f"w{k}x{i}" for i in range(104)]
+    rows = []
+    for k, more in enumerate((20, 25, 26, 40)):
+        rows += [(10 * k, " ".join(base(k))), (10 * k + 1, " ".join(base(k) + [f"more{k}x{i}" for i in range(more)]))]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()) == [0, 10, 20, 21, 30, 31]
