@@ -1,15 +1,16 @@
-"""Hierarchies: bottom-up over micro-clusters, and top-down.
+"""Hierarchies: bottom-up over rows or micro-clusters, and top-down.
 
-All rows are summarised into at most ``MAX_MICRO`` micro-clusters first; the pair table
-is quadratic in those, never in the rows. Each round merges every pair that are each
-other's nearest neighbour, which gives the same tree as one merge at a time for the
-four linkages offered.
+The bottom-up tree links all distinct rows, or fewer micro-clusters of them if asked; its
+pair table is quadratic in those and lives in Spark. Each round merges every pair that are
+each other's nearest neighbour, which gives the same tree as one merge at a time for the
+four linkages offered. The last ``FEW`` clusters are merged one at a time by one task.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -18,37 +19,87 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.operators.centers import assign_nearest, distances, kmeans_many, update_centers
+from stratiform.functions.components import connected_components
+from stratiform.functions.skew import salted_join
+from stratiform.operators.centers import assign_nearest, kmeans_many, update_centers
 from stratiform.session import cut_lineage, small_table
 
 LINKAGES = ("ward", "complete", "average", "weighted")
-MAX_MICRO = 512
+BLOCK_ROWS = 256
+FEW = 1024
+MERGES = "a bigint, b bigint, h double"
 
 
 def _pair_table(micro: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Every pair ``a < b`` of micro-clusters with squared center distance and both sizes.
-    Their number is bounded by ``MAX_MICRO``, so one side is sent to the tasks."""
-    rows = micro.select("label", "n", *cols).orderBy("label").limit(MAX_MICRO + 1).collect()
-    if len(rows) > MAX_MICRO:
-        raise ValueError(f"more than {MAX_MICRO} micro-clusters")
-    ids = np.array([r["label"] for r in rows])
-    size = np.array([float(r["n"]) for r in rows])
-    points = np.array([[r[c] for c in cols] for r in rows], dtype=float)
-    names = list(cols)
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            d = distances(pdf[names].to_numpy(dtype=float), points)
-            i, j = np.nonzero(pdf["label"].to_numpy()[:, None] < ids[None, :])
-            yield pd.DataFrame(
-                {"a": pdf["label"].to_numpy()[i], "b": ids[j], "s": d[i, j], "na": pdf["n"].to_numpy(dtype=float)[i], "nb": size[j]}
-            )
-
-    return micro.select("label", "n", *cols).mapInPandas(pairs, "a int, b int, s double, na double, nb double")
-
-
-def merge_tree(micro: DataFrame, cols: Sequence[str], linkage: str) -> list[tuple[int, int, float]]:
-    """Merges ``(kept id, absorbed id, height)`` of a table ``(label, <cols>, n)``.
+    """Every pair ``a < b`` of clusters with squared center distance and both sizes, formed
+    block by block: each of two blocks of rows is sent where the two meet."""
+    blocks = -(-micro.count() // BLOCK_ROWS) or 1
+    mine = F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int")
+    rows = micro.select(F.col("label").cast("bigint").alias("id"), F.col("n").cast("double").alias("n"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)], mine.alias("block"))
+
+    def side(name: str, low: bool) -> DataFrame:
+        other = F.sequence(F.col("block"), F.lit(blocks - 1)) if low else F.sequence(F.lit(0), F.col("block"))
+        met = rows.withColumn("other", F.explode(other))
+        i, j = ("block", "other") if low else ("other", "block")
+        return met.select(F.col(i).alias("i"), F.col(j).alias("j"), *[F.col(c).alias(f"{name}_{c}") for c in rows.columns if c != "block"])
+
+    met = side("p", True).join(side("q", False), ["i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("p_id") < F.col("q_id")))
+    gap = [F.col(f"p_x{i}") - F.col(f"q_x{i}") for i in range(len(cols))]
+    ahead = F.col("p_id") < F.col("q_id")
+    return met.select(
+        F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b"), reduce(add, [g * g for g in gap]).alias("s"),
+        F.when(ahead, F.col("p_n")).otherwise(F.col("q_n")).alias("na"), F.when(ahead, F.col("q_n")).otherwise(F.col("p_n")).alias("nb"),
+    )
+
+
+def _last_merges(linkage: str):
+    """The merges of a whole pair table, lowest ``(h, a, b)`` first."""
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [pdf for pdf in batches if len(pdf)]
+        if not held:
+            return
+        pairs = pd.concat(held)
+        ids = np.unique(pairs[["a", "b"]].to_numpy())
+        i, j = np.searchsorted(ids, pairs["a"]), np.searchsorted(ids, pairs["b"])
+        s, size = np.full((len(ids), len(ids)), np.inf), np.zeros(len(ids))
+        s[i, j] = s[j, i] = pairs["s"]
+        size[i], size[j] = pairs["na"], pairs["nb"]
+        live = np.ones(len(ids), dtype=bool)
+
+        def heights(p: int) -> np.ndarray:
+            if linkage != "ward":
+                return s[p]
+            with np.errstate(invalid="ignore"):
+                return np.sqrt(2 * size[p] * size / (size[p] + size) * np.maximum(s[p], 0.0))
+
+        h = np.stack([heights(p) for p in range(len(ids))])
+        merges = []
+        for _ in range(len(ids) - 1):
+            p, q = sorted(divmod(int(h.argmin()), len(ids)))
+            merges.append((int(ids[p]), int(ids[q]), float(h[p, q])))
+            rest = live.copy()
+            rest[[p, q]] = False
+            x, y, total = s[p, rest], s[q, rest], size[p] + size[q]
+            if linkage == "complete":
+                new = np.maximum(x, y)
+            elif linkage == "weighted":
+                new = (x + y) / 2
+            else:
+                new = (size[p] * x + size[q] * y) / total
+            if linkage == "ward":
+                new = new - s[p, q] * size[p] * size[q] / (total * total)
+            live[q], size[p] = False, total
+            s[q], s[:, q], h[q], h[:, q] = np.inf, np.inf, np.inf, np.inf
+            s[p, rest] = s[rest, p] = new
+            h[p, rest] = h[rest, p] = heights(p)[rest]
+        yield pd.DataFrame(merges, columns=["a", "b", "h"])
+
+    return merge
+
+
+def merge_rounds(micro: DataFrame, cols: Sequence[str], linkage: str, few: int = FEW) -> DataFrame:
+    """Merges ``a`` (kept id), ``b`` (absorbed id), ``h`` (height) of a table ``(label, <cols>, n)``.
 
     Stored pair values: squared center distance for ward, distance otherwise. With
     both sides of a pair possibly merging in one round, the new value is an aggregate
@@ -58,7 +109,7 @@ def merge_tree(micro: DataFrame, cols: Sequence[str], linkage: str) -> list[tupl
     if linkage not in LINKAGES:
         raise ValueError(f"linkage must be one of {LINKAGES}")
     ward = linkage == "ward"
-    spark = micro.sparkSession
+    left = micro.count()
     pairs = cut_lineage(_pair_table(micro, cols).withColumn("s", F.col("s") if ward else F.sqrt("s")))
     product, total = F.col("na") * F.col("nb"), F.col("na") + F.col("nb")
     height = F.sqrt(2 * product / total * F.greatest(F.col("s"), F.lit(0.0))) if ward else F.col("s")
@@ -66,24 +117,19 @@ def merge_tree(micro: DataFrame, cols: Sequence[str], linkage: str) -> list[tupl
         "complete": F.max("s"),
         "weighted": F.avg("s"),
     }.get(linkage, F.sum(product * F.col("s")) / F.sum(product))
-    merges: list[tuple[int, int, float]] = []
-    while True:
+    merges = small_table(micro.sparkSession, [], MERGES)
+    while left > max(1, few):
         # Ordered by (height, a, b): a total order, so at least one pair is mutual.
         choice = F.struct("h", "a", "b", "s", "na", "nb")
         nearest = pairs.withColumn("h", height).select(F.explode(F.array("a", "b")).alias("id"), choice.alias("m")).groupBy("id").agg(F.min("m").alias("m"))
-        # One row per remaining cluster, at most MAX_MICRO; a pair chosen from both ends merges.
-        votes = Counter(nearest.select("m.h", "m.a", "m.b", "m.s", "m.na", "m.nb").collect())
-        mutual = [r for r, n in votes.items() if n == 2]
-        if not mutual:
-            return merges
-        merges += [(r["a"], r["b"], r["h"]) for r in mutual]
-        # (old id, new id, new size, spread inside): two rows per merge, a small lookup table.
-        moves = []
-        for r in mutual:
-            size = r["na"] + r["nb"]
-            inner = r["s"] * r["na"] * r["nb"] / (size * size) if ward else 0.0
-            moves += [(r["a"], r["a"], size, inner), (r["b"], r["a"], size, inner)]
-        table = small_table(spark, moves, "old int, new int, size double, inner double")
+        # A pair chosen from both ends merges.
+        mutual = cut_lineage(nearest.groupBy("m").count().filter("count = 2").select("m.*"))
+        merges = cut_lineage(merges.unionByName(mutual.select("a", "b", "h")))
+        left -= mutual.count()
+        # (old id, new id, new size, spread inside): two rows per merge.
+        size = F.col("na") + F.col("nb")
+        inner = F.col("s") * product / (size * size) if ward else F.lit(0.0)
+        table = mutual.select(F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"), size.alias("size"), inner.alias("inner"))
         look = lambda x: table.select(F.col("old").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("new", "size", "inner")])
         moved = pairs.join(look("a"), "a", "left").join(look("b"), "b", "left")
         side = {
@@ -97,6 +143,12 @@ def merge_tree(micro: DataFrame, cols: Sequence[str], linkage: str) -> list[tupl
             value.alias("s"), F.first("p.n").alias("na"), F.first("q.n").alias("nb"), (F.first("p.v") + F.first("q.v")).alias("v")
         )
         pairs = cut_lineage(grown.select("a", "b", (F.col("s") - F.col("v")).alias("s"), "na", "nb"))
+    return cut_lineage(merges.unionByName(pairs.coalesce(1).mapInPandas(_last_merges(linkage), MERGES)))
+
+
+def merge_tree(micro: DataFrame, cols: Sequence[str], linkage: str) -> list[tuple[int, int, float]]:
+    """The merges of a small table as a list; ``hierarchy`` leaves them in Spark."""
+    return [tuple(r) for r in merge_rounds(micro, cols, linkage).collect()]
 
 
 def cut_tree(ids: Sequence[int], merges: Sequence[tuple[int, int, float]], k: int) -> dict[int, int]:
@@ -116,21 +168,41 @@ def cut_tree(ids: Sequence[int], merges: Sequence[tuple[int, int, float]], k: in
     return {i: roots.index(root(i)) for i in ids}
 
 
+def _cuts(points: DataFrame, merges: DataFrame, k_list: Sequence[int]) -> DataFrame:
+    """``(label, label_k<k> ...)`` of each cluster. Only the highest merges, fewer than the
+    largest k, and the groups they join come to the driver."""
+    top = merges.orderBy(F.desc("h"), F.desc("a"), F.desc("b")).limit(max(k_list) - 1)
+    high = small_table(points.sparkSession, [tuple(r) for r in top.collect()], MERGES)
+    parts = connected_components(points.select(F.col("label").cast("bigint").alias("node")), merges.join(high, "b", "left_anti").select("a", "b"))
+    of = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))
+    last = [tuple(r) for r in high.join(of("a"), "a").join(of("b"), "b").select("of_a", "of_b", "h").collect()]
+    ids = sorted(r["component"] for r in parts.select("component").distinct().collect())
+    cuts = {k: cut_tree(ids, last, k) for k in k_list}
+    schema = "component bigint, " + ", ".join(f"label_k{k} int" for k in k_list)
+    named = small_table(points.sparkSession, [(i, *[cuts[k][i] for k in k_list]) for i in ids], schema)
+    return parts.join(named, "component").select(F.col("node").alias("label"), *[f"label_k{k}" for k in k_list])
+
+
 def hierarchy(
-    df: DataFrame, key: str, cols: Sequence[str], linkage: str, k_list: Sequence[int], micro: int = 64, seed: int = 0
+    df: DataFrame, key: str, cols: Sequence[str], linkage: str, k_list: Sequence[int], micro: int | None, seed: int = 0
 ) -> DataFrame:
-    """``(key, label_k<k> ...)``: every row labelled through its micro-cluster, one column
-    per requested cut of one tree. Rows of one micro-cluster are never separated."""
-    centers, _ = kmeans_many(df, key, cols, [micro], n_init=1, seed=seed, max_iter=20)[micro]
-    assigned = assign_nearest(df.select(key, *cols), centers)
+    """``(key, label_k<k> ...)``: every row labelled by one column per requested cut of one
+    tree. ``micro`` None, or not below the number of distinct rows, links the rows
+    themselves, copies as one weighted point: exact, and quadratic in the distinct rows.
+    Fewer link that many micro-clusters, trained on all rows until they stay, by their
+    centers; rows of one are never separated."""
+    cols = list(cols)
+    rows = df.select(key, *cols)
+    points = cut_lineage(rows.groupBy(*cols).agg(F.min(key).cast("bigint").alias("label"), F.count(F.lit(1)).alias("n")))
+    named = [f"label_k{k}" for k in k_list]
+    if micro is None or points.count() <= micro:
+        cuts = _cuts(points, merge_rounds(points, cols, linkage), k_list)
+        return salted_join(rows, points.join(cuts, "label").select(*cols, *named), cols, F.col(key)).select(key, *named)
+    centers, _ = kmeans_many(df, key, cols, [micro], n_init=1, seed=seed, max_iter=10_000, tol=1e-9)[micro]
+    assigned = cut_lineage(assign_nearest(rows, centers))
     table = cut_lineage(update_centers(assigned, cols))
-    ids = [r["label"] for r in table.select("label").collect()]
-    merges = merge_tree(table, cols, linkage)
-    cuts = {k: cut_tree(ids, merges, k) for k in k_list}
-    rows = [(i, *[cuts[k][i] for k in k_list]) for i in ids]
-    schema = "label int, " + ", ".join(f"label_k{k} int" for k in k_list)
-    named = small_table(df.sparkSession, rows, schema)
-    return assigned.select(key, "label").join(named, "label").select(key, *[f"label_k{k}" for k in k_list])
+    cuts = _cuts(table, merge_rounds(table, cols, linkage), k_list)
+    return salted_join(assigned.select(key, "label"), cuts, ["label"], F.col(key)).select(key, *named)
 
 
 def bisecting(df: DataFrame, key: str, cols: Sequence[str], k: int, seed: int = 0) -> DataFrame:

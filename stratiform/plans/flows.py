@@ -234,7 +234,7 @@ def scoreboard(spark: SparkSession, sf_dir: str, k: int = 5, eps: float = 0.9, m
     centers, _ = kmeans(std, KEY, FEATURES, k)
     mix, _ = gmm(std, KEY, FEATURES, k)
     width = estimate_bandwidth(std, KEY, FEATURES, 0.1, 3000).first()["bandwidth"]
-    ward = hierarchy(std, KEY, FEATURES, "ward", [k])
+    ward = hierarchy(std, KEY, FEATURES, "ward", [k], micro=None)
     return compare_methods(
         std,
         {

@@ -343,7 +343,7 @@ def _(spark, sf):
 
 def _linkage(name):
     def run(spark, sf):
-        return hi.hierarchy(flows.model_frame(spark, sf).std, KEY, X, name, [4, 5])
+        return hi.hierarchy(flows.model_frame(spark, sf).std, KEY, X, name, [4, 5], micro=None)
 
     return run
 

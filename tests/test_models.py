@@ -218,6 +218,39 @@ def test_hierarchies_label_every_row(spark, blobs):
     assert len(sizes) == 3 and sum(sizes) == len(blobs)
 
 
+@pytest.mark.parametrize("linkage", hi.LINKAGES)
+def test_hierarchy_of_300_rows_equals_exact_linkage(spark, monkeypatch, linkage):
+    """Nothing is summarised when micro allows every distinct row, by rounds as in one task."""
+    r = np.random.default_rng(5)
+    points = r.normal(size=(300, 2)) * [1.0, 3.0]
+    rows = np.concatenate([points, points[:20]])  # 20 copies
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(rows)], "k bigint, c0 double, c1 double")
+    size = np.where(np.arange(300) < 20, 2.0, 1.0)
+    near = {i: {i} for i in range(300)}
+    d = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    d = d if linkage == "ward" else np.sqrt(d)
+    weight = size.copy()
+    while len(near) > 5:
+        ids = sorted(near)
+        w = weight[ids]
+        h = d[np.ix_(ids, ids)] * (2 * np.outer(w, w) / (w[:, None] + w[None]) if linkage == "ward" else 1)
+        np.fill_diagonal(h, np.inf)
+        p, q = sorted(ids[x] for x in divmod(int(h.argmin()), len(ids)))
+        a, b = weight[p], weight[q]
+        new = {"complete": np.maximum(d[p], d[q]), "weighted": (d[p] + d[q]) / 2}.get(linkage, (a * d[p] + b * d[q]) / (a + b))
+        new = new - (a * b / (a + b) ** 2 * d[p, q] if linkage == "ward" else 0)
+        d[p], d[:, p], weight[p] = new, new, a + b
+        near[p] |= near.pop(q)
+    want = {frozenset(m | {300 + i for i in m if i < 20}) for m in near.values()}
+    for micro, few in ((300, hi.FEW), (None, 150)):
+        monkeypatch.setattr(hi.merge_rounds, "__defaults__", (few,))
+        out = hi.hierarchy(df, "k", ["c0", "c1"], linkage, [5], micro=micro).collect()
+        got = {}
+        for row in out:
+            got.setdefault(row.label_k5, set()).add(row.k)
+        assert set(map(frozenset, got.values())) == want
+
+
 def test_kmodes_small(spark):
     rows = [("a", "x")] * 5 + [("a", "y")] * 2 + [("b", "z")] * 3 + [(None, "z")]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "k bigint, p string, q string")
