@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm import bestfit, fingerprint, jaccard, language, mixing, naming, packing, suffixes, superkmers, toxicity
+from stratiform.llm import alignment, bestfit, filter_audit, fingerprint, jaccard, language, licences, mixing, naming, packing, suffixes, superkmers, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,11 +27,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def token_file() -> str:
-    """The public tokenizer file the queries use; installed on every node."""
+def token_file(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer file the queries use; installed on every node."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 @query("op1_toxicity_crf")
@@ -88,3 +88,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_block_naming", naming.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.exact_groups(documents(spark, sf_dir))
+
+
+@query("op11_pointer_jumping")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return alignment.align_tokens(documents(spark, sf_dir), token_file("byte_bpe_50k.json"), token_file("piece_bpe_32k.model"), groups=digest).withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op12_filter_audit", filter_audit.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op13_rare_word_licences", licences.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(documents(spark, sf_dir)).drop("places")
