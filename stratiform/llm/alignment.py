@@ -7,7 +7,7 @@ its group. The arrays hold the tokens of many stretches of text at once.
 
 A text is cut into units at blanks and line ends where neither tokenizer can join across, so
 a unit's tokens, groups and links are the same in every text: each unit is tokenized and
-aligned once per worker and kept in a bounded cache. Whether such cuts are allowed is read
+aligned when a worker first meets it, and a bounded number of frequent ones are kept. Whether such cuts are allowed is read
 from the tokenizer files; where they are not, and in texts with rare blanks, the whole text
 is one unit.
 
@@ -25,6 +25,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -43,9 +44,10 @@ from stratiform.llm.text import binary_column, gather, slices
 from stratiform.llm.tokens import plain
 from stratiform.session import cut_lineage
 
-BLOCK_BYTES = 8 << 20
-CACHE_UNITS = 400_000
-CACHE_CHARS = 16 << 20
+BLOCK_BYTES = 4 << 20
+CHUNK_CHARS = 1 << 20
+CACHE_UNITS = 200_000
+CACHE_CHARS = 8 << 20
 
 _CUTS = re.compile(r"(?<=\S)(?=[ \n])")
 # Blanks on which the two tokenizers and Python's \s may disagree.
@@ -57,6 +59,7 @@ class Vocabulary:
     """Ids and bytes of the tokens of both files."""
 
     def __init__(self, a_path: str, b_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals the cores
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -125,16 +128,31 @@ class Aligner:
         written = [b"%d," % i for i in range(max(len(self.words.a_bytes), len(self.words.b_bytes)))]
         self.digit_pool = np.frombuffer(b"".join(written), np.uint8)
         self.digits = np.cumsum([0, *map(len, written)])
-        self.clear()
-
-    def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.texts: list[str] = []
         self.odd: set[int] = set()
         self.chars = 0
+        self.met = np.zeros(0, np.int64)  # how often each unit was met
         self.numbers = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
         self.codes, self.times, self.bounds = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
 
+    def forget(self) -> None:
+        """Keep the units met most often, at most half of what the cache holds."""
+        names = list(self.place)
+        order = np.argsort(-self.met, kind="stable")
+        sizes = np.cumsum([len(names[i]) for i in order])
+        often = self.met[order] > 1
+        kept = np.sort(order[often & (np.arange(len(order)) < CACHE_UNITS // 2) & (sizes < CACHE_CHARS // 2)])
+        at = kept.tolist()
+        self.place = {names[i]: k for k, i in enumerate(at)}
+        self.texts = [self.texts[i] for i in at]
+        self.odd = {k for k, i in enumerate(at) if i in self.odd}
+        self.chars = sum(map(len, self.place))
+        width = self.bounds[kept + 1] - self.bounds[kept]
+        index, bounds = gather(np.arange(len(self.codes)), self.bounds[kept], width)
+        self.codes, self.times, self.bounds = self.codes[index], self.times[index], bounds
+        self.met, self.numbers = self.met[kept] // 2, self.numbers[kept]
+
     def learn(self, units: list[str]) -> None:
         """Align ``units``, all new. One whose bytes a tokenizer does not keep has no tokens here."""
         a_ids, b_ids = self.words.ids(units)
@@ -163,6 +181,7 @@ class Aligner:
         times = np.diff(at, append=len(codes))
         bounds = np.searchsorted(link_unit[at], np.arange(len(units)), "right")
 
+        self.met = np.append(self.met, np.zeros(len(units), np.int64))
         self.texts += self._written(a, b, group, a_count + b_count)
         self.odd.update((len(self.place) + np.flatnonzero(~kept)).tolist())
         self.place.update(zip(units, range(len(self.place), len(self.place) + len(units))))
@@ -193,21 +212,21 @@ class Aligner:
         ends = offsets[np.cumsum(counts)].tolist()
         return [text[i : max(i, j - 1)] for i, j in zip([0, *ends], ends)]
 
-    def see(self, texts: list[str]) -> list[list[int]]:
+    def see(self, texts: list[str]) -> list[np.ndarray]:
         """Places of each text's units; none for a text without tokens."""
-        if len(self.place) > CACHE_UNITS or self.chars > CACHE_CHARS:
-            self.clear()
         units = [self.words.units(t) if t else [] for t in texts]
         self._learn_new(units)
-        out = [list(map(self.place.__getitem__, u)) for u in units]
+        flat = np.fromiter(map(self.place.__getitem__, chain.from_iterable(units)), np.int64, sum(map(len, units)))
+        self.met += np.bincount(flat, minlength=len(self.met))
+        out = np.split(flat, np.cumsum(list(map(len, units)))[:-1])
         # A text with a unit that loses bytes is judged whole, as its tokens may still join to the same bytes.
         if self.odd:
-            bad = [i for i, places in enumerate(out) if not self.odd.isdisjoint(places)]
+            bad = [i for i, places in enumerate(out) if not self.odd.isdisjoint(places.tolist())]
             whole = [[" " + texts[i]] for i in bad]
             self._learn_new(whole)
             for i, (unit,) in zip(bad, whole):
                 place = self.place[unit]
-                out[i] = [] if place in self.odd else [place]
+                out[i] = np.array([] if place in self.odd else [place], np.int64)
         return out
 
     def _learn_new(self, units: list[list[str]]) -> None:
@@ -218,11 +237,16 @@ class Aligner:
     def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per text its numbers and groups; the block's pairs and the documents that hold each;
         and, text after text, which pairs it holds (places in the block's), how often, and offsets."""
-        seen = self.see(texts)
-        n = len(texts)
-        sizes = [len(s) for s in seen]
-        places = np.fromiter(chain.from_iterable(seen), np.int64, sum(sizes))
-        groups = [";".join(map(self.texts.__getitem__, s)) for s in seen]
+        if len(self.place) > CACHE_UNITS or self.chars > CACHE_CHARS:
+            self.forget()
+        seen, n, at = [], len(texts), 0
+        ends = np.cumsum(list(map(len, texts)))
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_CHARS, "right")))
+            seen += self.see(texts[at:to])
+            at = to
+        sizes, places = list(map(len, seen)), np.concatenate([np.zeros(0, np.int64), *seen])
+        groups = [";".join(map(self.texts.__getitem__, s.tolist())) for s in seen]
         doc = np.repeat(np.arange(n), sizes)
         numbers = np.zeros((n, 4), np.int64)
         for k in range(4):

@@ -113,11 +113,14 @@ def test_counts_over_all_documents_and_edges(spark, words, monkeypatch):
 
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(alignment, "CACHE_UNITS", 50)
+    monkeypatch.setattr(alignment, "CHUNK_CHARS", 300)
     tool = alignment.Aligner(token_file("byte_bpe_50k.json"), token_file("piece_bpe_32k.model"))
-    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(30)]
+    texts = [" ".join(f"w{i}x{j} the cat ▁" if i % 7 == 0 else f"w{i}x{j} the cat" for j in range(20)) for i in range(30)]
     whole = tool.block(texts)[1]
     single = [tool.block([t])[1][0] for t in texts]
-    assert whole == single and len(tool.place) < 100
+    assert whole == single and len(tool.place) < 100 and " the" in tool.place
+    assert [g == "" for g in whole] == [i % 7 == 0 for i in range(30)]
+    assert len(tool.place) == len(tool.texts) == len(tool.met) == len(tool.numbers) == len(tool.bounds) - 1 and tool.bounds[-1] == len(tool.codes)
 
 
 def test_registered_query_equals_whole_texts(spark, words):
