@@ -14,7 +14,7 @@ from stratiform.operators import quality as q
 from stratiform.operators.centers import assign_nearest, kmeans, pca_kmeans, spread
 from stratiform.operators import describe as d
 from stratiform.operators.density import estimate_bandwidth, mean_shift
-from stratiform.operators.density_boxes import dbscan_boxes
+from stratiform.operators.density_blocks import dbscan_blocks
 from stratiform.operators.evaluate import compare_methods
 from stratiform.operators.hierarchy import hierarchy
 from stratiform.operators.mixture import gmm, gmm_score
@@ -240,7 +240,7 @@ def scoreboard(spark: SparkSession, sf_dir: str, k: int = 5, eps: float = 0.9, m
         {
             "kmeans": assign_nearest(std, centers).select(KEY, "label"),
             "pca_kmeans": pca_kmeans(std, KEY, FEATURES, 4, k)[0],
-            "dbscan": dbscan_boxes(std, KEY, FEATURES, eps, min_samples),
+            "dbscan": dbscan_blocks(std, KEY, FEATURES, eps, min_samples),
             "mean_shift": mean_shift(std, KEY, FEATURES, width)[0],
             "gaussian_mixture": gmm_score(std, mix, KEY).select(KEY, "label"),
             "hierarchy_ward": ward.withColumnRenamed(f"label_k{k}", "label"),

@@ -16,7 +16,7 @@ from stratiform.operators import mixture as mi
 from stratiform.operators import pca
 from stratiform.operators import profile as pr
 from stratiform.operators import tree
-from stratiform.operators.density_boxes import dbscan_boxes
+from stratiform.operators.density_blocks import dbscan_blocks
 from stratiform.plans import flows
 from stratiform.plans import model_sql as ms
 from stratiform.plans.queries_models import CAT, MODE_ROUNDS, K, X, _categories, _modes_sql, _near_labels, first_centers, fixed_labels
@@ -222,7 +222,7 @@ FEATURE_EPS, FEATURE_MIN = 0.9, 50
 @query("C15_dbscan_features", ctes("std", ms.dbscan("std", X, FEATURE_EPS, FEATURE_MIN)) + f"SELECT {KEY}, label FROM labelled")
 def _(spark, sf):
     """All nine features."""
-    return dbscan_boxes(_std(spark, sf), KEY, X, FEATURE_EPS, FEATURE_MIN)
+    return dbscan_blocks(_std(spark, sf), KEY, X, FEATURE_EPS, FEATURE_MIN)
 
 
 # ---- flows ---------------------------------------------------------------------------

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratiform.functions.quantile import quantile_values
-from stratiform.operators.density_boxes import dbscan_boxes
+from stratiform.operators import density_blocks
+from stratiform.operators.density_blocks import dbscan_blocks
 from stratiform.operators import centers, density, describe, evaluate, mixture, quality
 
 
@@ -75,11 +76,38 @@ def test_both_quantile_routes_give_the_same_digits(spark, p):
     assert quantile_values(df, ["x", "y"], [p]) == quantile_values(df, ["x", "y"], [p], small_rows=10)
 
 
-@pytest.mark.parametrize("box_rows", [40, 5000])
-def test_boxes_give_the_labels_of_cells(spark, box_rows):
+@pytest.mark.parametrize("block_rows", [10, 5000])
+def test_blocks_give_the_labels_of_cells(spark, block_rows):
     r = np.random.default_rng(8)
+    n = 300 if block_rows > 10 else 150
     x = np.concatenate([r.normal(0, 0.3, (120, 3)), r.normal(2, 0.4, (100, 3)), r.uniform(-2, 4, (60, 3)), np.zeros((15, 3))])
+    x = x[r.permutation(len(x))[:n]]
     df = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(x)], "key bigint, x double, y double, z double").repartition(4)
     want = density.dbscan(df, "key", ["x", "y", "z"], 0.45, 6)
-    got = dbscan_boxes(df, "key", ["x", "y", "z"], 0.45, 6, box_rows=box_rows)
+    got = dbscan_blocks(df, "key", ["x", "y", "z"], 0.45, 6, block_rows=block_rows)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("eps", [0.9, 50.0])
+def test_no_task_judges_more_than_two_blocks(spark, eps):
+    """Nine columns; the largest eps is far beyond the spread, so everything is near everything."""
+    r = np.random.default_rng(9)
+    cols = [f"c{j}" for j in range(9)]
+    x = r.normal(size=(700, 9)).round(6)
+    df = spark.createDataFrame([(i, 1, *map(float, row)) for i, row in enumerate(x)], "pid bigint, w bigint, " + ", ".join(f"{c} double" for c in cols))
+    dealt = density_blocks.blocks(df, cols, eps, 64)
+    sizes = [row["count"] for row in dealt.groupBy("block").count().collect()]
+    assert sum(sizes) == 700 and max(sizes) <= 64 and len(sizes) <= 4 * 700 // 64 + 4
+    pairs = {tuple(p) for p in density_blocks.block_pairs(dealt, cols, eps).collect()}
+    block = {row.pid: row.block for row in dealt.select("pid", "block").collect()}
+    near = np.argwhere(((x[:, None] - x[None]) ** 2).sum(-1) <= eps * eps)
+    assert {(block[a], block[b]) for a, b in near.tolist() if block[a] != block[b]} <= pairs and all((b, a) in pairs for a, b in pairs)
+    assert eps < 1 or len(pairs) == len(sizes) * (len(sizes) - 1)
+    labels = dbscan_blocks(df.withColumnRenamed("pid", "key"), "key", cols, eps, 5, block_rows=64)
+    want = density.dbscan(df.withColumnRenamed("pid", "key"), "key", cols, eps, 5)
+    assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_blocks_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "key bigint, x double, y double")
+    assert dbscan_blocks(df, "key", ["x", "y"], 1.0, 3).count() == 0
