@@ -18,3 +18,11 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by:
     dealt = big.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = small.withColumn("__salt", F.explode(F.array(*map(F.lit, range(salts)))))
     return dealt.join(copies, [*on, "__salt"], how).drop("__salt")
+
+
+def paired(left: DataFrame, right: DataFrame, on: Sequence[str]):
+    """Cogroup of two tables on ``on``, dealt over all shuffle partitions. Work on pairs of
+    blocks is large where its rows are few, so partitions must not be joined for their size."""
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    renamed = right.select(*[F.col(c).alias(f"__of_{c}") for c in on], *[c for c in right.columns if c not in on])
+    return left.repartition(parts, *on).groupBy(*on).cogroup(renamed.repartition(parts, *[f"__of_{c}" for c in on]).groupBy(*[f"__of_{c}" for c in on]))

@@ -1,149 +1,309 @@
 """Hierarchies: bottom-up over rows or micro-clusters, and top-down.
 
-The bottom-up tree links all distinct rows, or fewer micro-clusters of them if asked; its
-pair table is quadratic in those and lives in Spark. Each round merges every pair that are
-each other's nearest neighbour, which gives the same tree as one merge at a time for the
-four linkages offered. The last ``FEW`` clusters are merged one at a time by one task.
+The bottom-up tree links all distinct rows, or fewer micro-clusters of them if asked. Each
+round merges every pair that are each other's nearest neighbour, which gives the same tree as
+one merge at a time for the four linkages offered. The last ``FEW`` clusters are merged one
+at a time by one task.
+
+* Ward needs no distances kept: the height of a merge follows from two centers and weights. A
+  round looks up, block against block, the nearest cluster of those that have lost theirs.
+  What is stored and checkpointed is one row per cluster.
+* Complete, average and weighted linkage keep the matrix of distances, one packed row of it per
+  cluster (16 bytes per pair of clusters), in partitions of ``PART_BYTES``. A round merges columns
+  inside the rows, brings the two rows of a merge together, and finds each row's minimum there.
+  The driver holds a few numbers per cluster: which is nearest, how near, sizes and merges. That
+  is as much as a few rows of the matrix that Spark holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions.components import connected_components
-from stratiform.functions.skew import salted_join
-from stratiform.operators.centers import assign_nearest, kmeans_many, update_centers
-from stratiform.session import cut_lineage, small_table
+from stratiform.functions.rank import ranked
+from stratiform.functions.skew import paired, salted_join
+from stratiform.operators.centers import assign_nearest, distances, kmeans_many, update_centers
+from stratiform.session import cut_lineage, cut_plan, small_table
 
 LINKAGES = ("ward", "complete", "average", "weighted")
-BLOCK_ROWS = 256
-FEW = 1024
+BLOCK_ROWS = 2048
+CHUNK = 256
+PART_BYTES = 64 << 20
+FEW = 2048
 MERGES = "a bigint, b bigint, h double"
 
 
-def _pair_table(micro: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Every pair ``a < b`` of clusters with squared center distance and both sizes, formed
-    block by block: each of two blocks of rows is sent where the two meet."""
-    blocks = -(-micro.count() // BLOCK_ROWS) or 1
-    mine = F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int")
-    rows = micro.select(F.col("label").cast("bigint").alias("id"), F.col("n").cast("double").alias("n"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)], mine.alias("block"))
+def _heights(squared: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Ward heights from squared center distances of clusters of sizes ``n`` and ``m``."""
+    return np.sqrt(2 * n * m / (n + m) * np.maximum(squared, 0.0))
+
+
+def _last_merges(ids: np.ndarray, size: np.ndarray, s: np.ndarray, linkage: str) -> list[tuple[int, int, float]]:
+    """All merges of a whole matrix ``s`` (squared center distances for ward, else distances),
+    lowest ``(h, a, b)`` first. ``ids`` ascend. Every row keeps its nearest; only rows that lose
+    theirs are searched again."""
+    ward, size, s = linkage == "ward", size.astype(float), s.copy()
+    np.fill_diagonal(s, np.inf)
+
+    def heights(p: int) -> np.ndarray:
+        return _heights(s[p], size[p], size) if ward else s[p]
+
+    least, near = np.full(len(ids), np.inf), np.zeros(len(ids), np.int64)
+
+    def search(p: int) -> None:
+        h = heights(p)
+        near[p] = h.argmin()
+        least[p] = h[near[p]]
 
-    def side(name: str, low: bool) -> DataFrame:
-        other = F.sequence(F.col("block"), F.lit(blocks - 1)) if low else F.sequence(F.lit(0), F.col("block"))
-        met = rows.withColumn("other", F.explode(other))
-        i, j = ("block", "other") if low else ("other", "block")
-        return met.select(F.col(i).alias("i"), F.col(j).alias("j"), *[F.col(c).alias(f"{name}_{c}") for c in rows.columns if c != "block"])
+    for p in range(len(ids)):
+        search(p)
+    live, merges = np.ones(len(ids), dtype=bool), []
+    for _ in range(len(ids) - 1):
+        p = int(least.argmin())
+        p, q = sorted((p, int(near[p])))
+        merges.append((int(ids[p]), int(ids[q]), float(least[p])))
+        live[q] = False
+        rest = live.copy()
+        rest[p] = False
+        x, y, total = s[p, rest], s[q, rest], size[p] + size[q]
+        if linkage == "complete":
+            new = np.maximum(x, y)
+        elif linkage == "weighted":
+            new = (x + y) / 2
+        else:
+            new = (size[p] * x + size[q] * y) / total
+        if ward:
+            new = new - s[p, q] * size[p] * size[q] / (total * total)
+        size[p] = total
+        s[q], s[:, q], least[q] = np.inf, np.inf, np.inf
+        s[p, rest] = s[rest, p] = new
+        h = heights(p)
+        nearer = rest & ((h < least) | ((h == least) & (p < near)))
+        least[nearer], near[nearer] = h[nearer], p
+        for r in np.flatnonzero(rest & ((near == p) | (near == q)) & ~nearer):
+            search(r)
+        search(p)
+    return merges
 
-    met = side("p", True).join(side("q", False), ["i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("p_id") < F.col("q_id")))
-    gap = [F.col(f"p_x{i}") - F.col(f"q_x{i}") for i in range(len(cols))]
-    ahead = F.col("p_id") < F.col("q_id")
-    return met.select(
-        F.least("p_id", "q_id").alias("a"), F.greatest("p_id", "q_id").alias("b"), reduce(add, [g * g for g in gap]).alias("s"),
-        F.when(ahead, F.col("p_n")).otherwise(F.col("q_n")).alias("na"), F.when(ahead, F.col("q_n")).otherwise(F.col("p_n")).alias("nb"),
-    )
 
+# ---- ward: centers and weights -----------------------------------------------------------
 
-def _last_merges(linkage: str):
-    """The merges of a whole pair table, lowest ``(h, a, b)`` first."""
 
+def _ward_nearest(cols: list[str]):
+    """The nearest of the other block for each asking cluster; the lower id on equal heights."""
+
+    def nearest(asked: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        other = other.sort_values("id", kind="stable")
+        x, y = (side[cols].to_numpy(dtype=float) for side in (asked, other))
+        n, m = asked["n"].to_numpy(dtype=float), other["n"].to_numpy(dtype=float)
+        mine, theirs = asked["id"].to_numpy(), other["id"].to_numpy()
+        best, height = np.zeros(len(x), np.int64), np.full(len(x), np.inf)
+        for i in range(0, len(x) if len(y) else 0, CHUNK):
+            some = slice(i, i + CHUNK)
+            h = _heights(distances(x[some], y), n[some, None], m[None])
+            h[mine[some, None] == theirs[None]] = np.inf
+            best[some] = h.argmin(axis=1)
+            height[some] = h[np.arange(len(h)), best[some]]
+        found = np.isfinite(height)
+        return pd.DataFrame({"id": mine[found], "h": height[found], "nn": theirs[best[found]] if len(y) else best[found]})
+
+    return nearest
+
+
+def _ward_last(cols: list[str]):
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [pdf for pdf in batches if len(pdf)]
-        if not held:
-            return
-        pairs = pd.concat(held)
-        ids = np.unique(pairs[["a", "b"]].to_numpy())
-        i, j = np.searchsorted(ids, pairs["a"]), np.searchsorted(ids, pairs["b"])
-        s, size = np.full((len(ids), len(ids)), np.inf), np.zeros(len(ids))
-        s[i, j] = s[j, i] = pairs["s"]
-        size[i], size[j] = pairs["na"], pairs["nb"]
-        live = np.ones(len(ids), dtype=bool)
-
-        def heights(p: int) -> np.ndarray:
-            if linkage != "ward":
-                return s[p]
-            with np.errstate(invalid="ignore"):
-                return np.sqrt(2 * size[p] * size / (size[p] + size) * np.maximum(s[p], 0.0))
-
-        h = np.stack([heights(p) for p in range(len(ids))])
-        merges = []
-        for _ in range(len(ids) - 1):
-            p, q = sorted(divmod(int(h.argmin()), len(ids)))
-            merges.append((int(ids[p]), int(ids[q]), float(h[p, q])))
-            rest = live.copy()
-            rest[[p, q]] = False
-            x, y, total = s[p, rest], s[q, rest], size[p] + size[q]
-            if linkage == "complete":
-                new = np.maximum(x, y)
-            elif linkage == "weighted":
-                new = (x + y) / 2
-            else:
-                new = (size[p] * x + size[q] * y) / total
-            if linkage == "ward":
-                new = new - s[p, q] * size[p] * size[q] / (total * total)
-            live[q], size[p] = False, total
-            s[q], s[:, q], h[q], h[:, q] = np.inf, np.inf, np.inf, np.inf
-            s[p, rest] = s[rest, p] = new
-            h[p, rest] = h[rest, p] = heights(p)[rest]
-        yield pd.DataFrame(merges, columns=["a", "b", "h"])
+        if held:
+            rows = pd.concat(held).sort_values("id")
+            x = rows[cols].to_numpy(dtype=float)
+            yield pd.DataFrame(_last_merges(rows["id"].to_numpy(), rows["n"].to_numpy(), distances(x, x), "ward"), columns=["a", "b", "h"])
 
     return merge
 
 
-def merge_rounds(micro: DataFrame, cols: Sequence[str], linkage: str, few: int = FEW) -> DataFrame:
-    """Merges ``a`` (kept id), ``b`` (absorbed id), ``h`` (height) of a table ``(label, <cols>, n)``.
-
-    Stored pair values: squared center distance for ward, distance otherwise. With
-    both sides of a pair possibly merging in one round, the new value is an aggregate
-    over the old pairs: maximum (complete), size-weighted mean (average), plain mean
-    (weighted), or the size-weighted mean less the spread inside each side (ward).
-    """
-    if linkage not in LINKAGES:
-        raise ValueError(f"linkage must be one of {LINKAGES}")
-    ward = linkage == "ward"
-    left = micro.count()
-    pairs = cut_lineage(_pair_table(micro, cols).withColumn("s", F.col("s") if ward else F.sqrt("s")))
-    product, total = F.col("na") * F.col("nb"), F.col("na") + F.col("nb")
-    height = F.sqrt(2 * product / total * F.greatest(F.col("s"), F.lit(0.0))) if ward else F.col("s")
-    value = {
-        "complete": F.max("s"),
-        "weighted": F.avg("s"),
-    }.get(linkage, F.sum(product * F.col("s")) / F.sum(product))
-    merges = small_table(micro.sparkSession, [], MERGES)
+def _ward_rounds(micro: DataFrame, cols: Sequence[str], few: int, block_rows: int) -> DataFrame:
+    names = [f"x{i}" for i in range(len(cols))]
+    lost = {"nn": F.lit(None).cast("bigint"), "h": F.lit(None).cast("double")}
+    columns = ["id", "n", *names, "nn", "h"]
+    state = cut_lineage(micro.select(F.col("label").cast("bigint").alias("id"), F.col("n").cast("double").alias("n"), *[F.col(c).cast("double").alias(x) for c, x in zip(cols, names)]).withColumns(lost))
+    merges, left = small_table(micro.sparkSession, [], MERGES), state.count()
     while left > max(1, few):
-        # Ordered by (height, a, b): a total order, so at least one pair is mutual.
-        choice = F.struct("h", "a", "b", "s", "na", "nb")
-        nearest = pairs.withColumn("h", height).select(F.explode(F.array("a", "b")).alias("id"), choice.alias("m")).groupBy("id").agg(F.min("m").alias("m"))
+        # A cluster keeps its nearest while that one lives: by reducibility no merged cluster comes nearer.
+        dealt = state.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(-(-left // block_rows))).cast("int"))
+        every = F.sequence(F.lit(0), F.lit(-(-left // block_rows) - 1))
+        asked = dealt.filter("nn IS NULL").select("id", "n", *names, "block", F.explode(every).alias("other"))
+        held = dealt.select("id", "n", *names, F.explode(every).alias("block"), F.col("block").alias("other"))
+        found = paired(asked, held, ["block", "other"]).applyInPandas(_ward_nearest(names), "id bigint, h double, nn bigint")
+        found = found.groupBy("id").agg(F.min(F.struct("h", "nn")).alias("m"))
+        state = cut_lineage(
+            state.join(found, "id", "left").select("id", "n", *names, F.coalesce("nn", "m.nn").alias("nn"), F.coalesce("h", "m.h").alias("h"))
+        )
         # A pair chosen from both ends merges.
-        mutual = cut_lineage(nearest.groupBy("m").count().filter("count = 2").select("m.*"))
-        merges = cut_lineage(merges.unionByName(mutual.select("a", "b", "h")))
-        left -= mutual.count()
-        # (old id, new id, new size, spread inside): two rows per merge.
-        size = F.col("na") + F.col("nb")
-        inner = F.col("s") * product / (size * size) if ward else F.lit(0.0)
-        table = mutual.select(F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"), size.alias("size"), inner.alias("inner"))
-        look = lambda x: table.select(F.col("old").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("new", "size", "inner")])
-        moved = pairs.join(look("a"), "a", "left").join(look("b"), "b", "left")
-        side = {
-            x: F.struct(
-                F.coalesce(f"{x}_new", x).alias("id"), F.coalesce(f"{x}_size", f"n{x}").alias("n"), F.coalesce(f"{x}_inner", F.lit(0.0)).alias("v")
-            )
-            for x in ("a", "b")
-        }
-        moved = moved.select("s", "na", "nb", F.least(side["a"], side["b"]).alias("p"), F.greatest(side["a"], side["b"]).alias("q")).filter("p.id <> q.id")
-        grown = moved.groupBy(F.col("p.id").alias("a"), F.col("q.id").alias("b")).agg(
-            value.alias("s"), F.first("p.n").alias("na"), F.first("q.n").alias("nb"), (F.first("p.v") + F.first("q.v")).alias("v")
+        pairs = state.groupBy(F.least("id", "nn").alias("a"), F.greatest("id", "nn").alias("b")).agg(F.count(F.lit(1)).alias("ends"), F.min("h").alias("h"))
+        mutual = cut_lineage(pairs.filter("ends = 2").select("a", "b", "h"))
+        done = mutual.count()
+        if not done:  # equal heights told apart by clusters that are gone: look all up again
+            state = state.withColumns(lost)
+            continue
+        merges, left = cut_plan(merges.unionByName(mutual)), left - done
+        ends = mutual.select(F.explode(F.array("a", "b")).alias("id"), F.col("a").alias("new"))
+        marked = state.join(ends, "id", "left")
+        grown = marked.filter("new IS NOT NULL").groupBy(F.col("new").alias("id")).agg(
+            *[(F.sum(F.col("n") * F.col(x)) / F.sum("n")).alias(x) for x in names], F.sum("n").alias("n")
         )
-        pairs = cut_lineage(grown.select("a", "b", (F.col("s") - F.col("v")).alias("s"), "na", "nb"))
-    return cut_lineage(merges.unionByName(pairs.coalesce(1).mapInPandas(_last_merges(linkage), MERGES)))
+        gone = ends.select(F.col("id").alias("nn"), F.lit(True).alias("gone"))
+        kept = marked.filter("new IS NULL").drop("new").join(gone, "nn", "left").withColumns({c: F.when(F.col("gone"), v).otherwise(F.col(c)) for c, v in lost.items()})
+        state = cut_plan(grown.withColumns(lost).select(*columns).unionByName(kept.select(*columns)))
+    return cut_lineage(merges.unionByName(state.coalesce(1).mapInPandas(_ward_last(names), MERGES)))
+
+
+# ---- complete, average, weighted: packed rows of the matrix ------------------------------
+
+_ROW = "at bigint, row binary, nn bigint, h double"
+
+
+def _packed(at: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """Rows with their nearest, the lower place on equal distances."""
+    nn = rows.argmin(axis=1)
+    width = rows.shape[1] * 8
+    offsets = pa.py_buffer(np.arange(0, len(rows) * width + 1, max(1, width), dtype=np.int32))
+    data = pa.Array.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(np.ascontiguousarray(rows))])
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), data, pa.array(nn, pa.int64()), pa.array(rows[np.arange(len(rows)), nn])], names=["at", "row", "nn", "h"])
+
+
+def _unpacked(column: pa.Array, n: int) -> np.ndarray:
+    start = column.buffers()[1]
+    offsets = np.frombuffer(start, np.int32 if column.type == pa.binary() else np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.float64).reshape(len(column), n)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches of a sorted stream, cut where ``key`` changes."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        keys = batch.column(key).to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1], "left"))
+        held = batch.slice(cut)
+        if cut:
+            yield batch.slice(0, cut)
+    if held is not None:
+        yield held
+
+
+def _matrix(points: DataFrame, cols: list[str], n: int, block_rows: int) -> DataFrame:
+    """The packed rows of the distances between all points ``(at, <cols>)``, formed block against block."""
+    dealt = points.withColumn("block", F.expr(f"int(at div {block_rows})"))
+    every = F.sequence(F.lit(0), F.lit((n - 1) // block_rows))
+    asked = dealt.withColumn("other", F.explode(every))
+    held = dealt.select("at", *cols, F.explode(every).alias("block"), F.col("block").alias("other"))
+
+    def pieces(home: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        other = other.sort_values("at")
+        at, to = home["at"].to_numpy(), other["at"].to_numpy()
+        gap = np.sqrt(distances(home[cols].to_numpy(dtype=float), other[cols].to_numpy(dtype=float)))
+        gap[at[:, None] == to[None]] = np.inf
+        return pd.DataFrame({"at": at, "other": to[0] // block_rows, "row": [g.tobytes() for g in gap]})
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches, "at"):
+            at = run.column("at").to_numpy()
+            data = np.frombuffer(b"".join(run.column("row").to_pylist()), np.float64)
+            yield _packed(np.unique(at), data.reshape(-1, n))
+
+    cut = paired(asked, held, ["block", "other"]).applyInPandas(pieces, "at bigint, other int, row binary")
+    return cut.repartition(_parts(n), "at").sortWithinPartitions("at", "other").mapInArrow(whole, _ROW)
+
+
+def _parts(n: int) -> int:
+    return max(8, -(-8 * n * n // PART_BYTES))
+
+
+def _merged(rows: DataFrame, n: int, first: np.ndarray, second: np.ndarray, share: np.ndarray, complete: bool) -> DataFrame:
+    """The matrix after merging ``first[i]`` with ``second[i]`` (-1: none) for every new place i;
+    ``share`` is the weight of the first."""
+    to = np.full(n, -1, np.int64)
+    to[first] = np.arange(len(first))
+    pairs = np.flatnonzero(second >= 0)
+    to[second[pairs]] = pairs
+
+    def both(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return np.maximum(x, y) if complete else w * x + (1 - w) * y
+
+    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            old, at = _unpacked(batch.column("row"), n), batch.column("at").to_numpy()
+            new = old[:, first]
+            new[:, pairs] = both(new[:, pairs], old[:, second[pairs]], share[pairs])
+            packed = _packed(to[at], new)
+            yield pa.RecordBatch.from_arrays([packed.column(0), packed.column(1), pa.array(first[to[at]] != at)], names=["at", "row", "second"])
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches, "at"):
+            at, half, rows = run.column("at").to_numpy(), run.column("second").to_numpy(zero_copy_only=False), _unpacked(run.column("row"), len(first))
+            own = rows[~half].copy()
+            paired = np.flatnonzero(half) - 1 - np.arange(half.sum())  # the place of its first among the firsts
+            own[paired] = both(own[paired], rows[half], share[at[half]][:, None])
+            yield _packed(at[~half], own)
+
+    moved = rows.select("at", "row").mapInArrow(columns, "at bigint, row binary, second boolean")
+    return moved.repartition(_parts(len(first)), "at").sortWithinPartitions("at", "second").mapInArrow(lines, _ROW)
+
+
+def _matrix_rounds(micro: DataFrame, cols: Sequence[str], linkage: str, few: int, block_rows: int) -> DataFrame:
+    names = [f"x{i}" for i in range(len(cols))]
+    named = micro.select(F.col("label").cast("bigint").alias("id"), F.col("n").cast("double").alias("n"), *[F.col(c).cast("double").alias(x) for c, x in zip(cols, names)])
+    placed = cut_lineage(ranked(named, ["id"]).withColumn("at", F.col("rank").cast("bigint") - 1))
+    known = placed.select("at", "id", "n").toPandas().sort_values("at")
+    ids, size = known["id"].to_numpy(), known["n"].to_numpy(dtype=float)
+    merges: list[tuple[int, int, float]] = []
+    if len(ids) > 1:
+        rows = cut_lineage(_matrix(placed.select("at", *names), names, len(ids), block_rows))
+        while len(ids) > max(1, few):
+            best = rows.select("at", "nn", "h").toPandas().sort_values("at")
+            nn, h, at = best["nn"].to_numpy(), best["h"].to_numpy(), np.arange(len(ids))
+            low = np.flatnonzero((nn[nn] == at) & (at < nn))
+            merges += zip(ids[low].tolist(), ids[nn[low]].tolist(), h[low].tolist())
+            gone = np.zeros(len(ids), bool)
+            gone[nn[low]] = True
+            first = np.flatnonzero(~gone)
+            second = np.full(len(ids), -1, np.int64)
+            second[low] = nn[low]
+            second = second[first]
+            other = np.where(second >= 0, size[second], 0.0)
+            share = np.full(len(first), 0.5) if linkage == "weighted" else size[first] / (size[first] + other)
+            rows = cut_lineage(_merged(rows, len(ids), first, second, share, linkage == "complete"))
+            ids, size = ids[first], size[first] + other
+
+        def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+            held = [(b.column("at").to_numpy(), _unpacked(b.column("row"), len(ids))) for b in batches if b.num_rows]
+            if held:
+                at, matrix = np.concatenate([a for a, _ in held]), np.concatenate([m for _, m in held])
+                found = pd.DataFrame(_last_merges(ids, size, matrix[np.argsort(at)], linkage), columns=["a", "b", "h"])
+                yield from pa.Table.from_pandas(found, preserve_index=False).to_batches()
+
+        merges += [tuple(r) for r in rows.select("at", "row").coalesce(1).mapInArrow(last, MERGES).collect()]
+    return small_table(micro.sparkSession, merges, MERGES)
+
+
+def merge_rounds(micro: DataFrame, cols: Sequence[str], linkage: str, few: int = FEW, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Merges ``a`` (kept id), ``b`` (absorbed id), ``h`` (height) of a table ``(label, <cols>, n)``."""
+    if linkage not in LINKAGES:
+        raise ValueError(f"linkage must be one of {LINKAGES}")
+    return _ward_rounds(micro, cols, few, block_rows) if linkage == "ward" else _matrix_rounds(micro, cols, linkage, few, block_rows)
 
 
 def merge_tree(micro: DataFrame, cols: Sequence[str], linkage: str) -> list[tuple[int, int, float]]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Sequence
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_plan(df: DataFrame) -> DataFrame:
+    """``df`` written as a table into the checkpoint folder and read again. For loops of many
+    joins: a checkpoint hands on the planner's estimates, which multiply from round to round
+    until planning takes longer than the work; a table's size is read from its files."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A few driver-side rows as a table. Handed over as one Arrow table, so the planner
     knows its size and joins it by broadcast without being told to."""

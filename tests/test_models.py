@@ -242,8 +242,8 @@ def test_hierarchy_of_300_rows_equals_exact_linkage(spark, monkeypatch, linkage)
         d[p], d[:, p], weight[p] = new, new, a + b
         near[p] |= near.pop(q)
     want = {frozenset(m | {300 + i for i in m if i < 20}) for m in near.values()}
-    for micro, few in ((300, hi.FEW), (None, 150)):
-        monkeypatch.setattr(hi.merge_rounds, "__defaults__", (few,))
+    for micro, few in ((300, hi.FEW), (None, 40)):
+        monkeypatch.setattr(hi.merge_rounds, "__defaults__", (few, 64))
         out = hi.hierarchy(df, "k", ["c0", "c1"], linkage, [5], micro=micro).collect()
         got = {}
         for row in out:
