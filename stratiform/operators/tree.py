@@ -1,19 +1,33 @@
-"""Decision tree on cluster labels, and its use on the outliers."""
+"""Decision tree on cluster labels, and its use on the outliers.
+
+The tree is exact: every distinct value of every column is a split candidate, and depth has no
+limit. Nodes of more than ``SMALL_ROWS`` rows are split level by level in Spark: the rows of all
+open nodes are folded to class counts per (node, column, value), those are range-sorted into
+stretches, and every stretch scores its values from its own running counts and what came before
+it, one row per stretch, node and column. A smaller node goes to one task, which grows its whole
+subtree. Both ways choose the same splits.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stratiform.functions.expr import HASH_PRIME, key_hash
+from stratiform.functions.skew import salted_join
 from stratiform.operators.columns import attach_labels, stack
-from stratiform.session import ensure_checkpoint_dir
+from stratiform.session import cut_plan, small_table
 
-MAX_DEPTH = 30
+SMALL_ROWS = 50_000
+STRETCH_ROWS = 100_000
+SHIPPED_NODES = 1_000_000
+_NODES = "path string, feature int, threshold double, n bigint, majority int, hits bigint"
 
 
 def split_by_key(df: DataFrame, key: str, frac: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -22,55 +36,210 @@ def split_by_key(df: DataFrame, key: str, frac: float, seed: int) -> tuple[DataF
     return df.filter(first), df.filter(~first)
 
 
-def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
+@dataclass(frozen=True)
+class Tree:
+    """``nodes``: one row per node. Its ``path`` from the root has a 0 for each step to the left
+    (value <= threshold) and a 1 for each to the right; leaves have no feature. ``n`` training
+    rows, their most frequent class (the lower label of equals) and how many are of it."""
+
+    nodes: DataFrame
+    features: tuple[str, ...]
+
+    @property
+    def depth(self) -> int:
+        return self.nodes.agg(F.max(F.length("path"))).first()[0]
+
+    @property
+    def size(self) -> int:
+        return self.nodes.count()
+
+
+def _scores(left: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Gini purity of splits by their class counts: the larger, the purer both sides."""
+    right = total - left
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return (left * left).sum(axis=-1) / left.sum(axis=-1) + (right * right).sum(axis=-1) / right.sum(axis=-1)
+
+
+def _middle(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    middle = (low + high) / 2
+    return np.where(middle >= high, low, middle)
+
+
+def _best(x: np.ndarray, hot: np.ndarray, min_leaf: int) -> tuple[int, float] | None:
+    """The purest split of the rows: the lowest column, then the lowest value, of equals."""
+    best, found = -np.inf, None
+    sizes = np.arange(1, len(x))
+    for f in range(x.shape[1]):
+        order = np.argsort(x[:, f], kind="stable")
+        v = x[order, f]
+        at = np.flatnonzero((v[1:] != v[:-1]) & (sizes >= min_leaf) & (len(x) - sizes >= min_leaf))
+        if len(at):
+            left = np.cumsum(hot[order], axis=0)
+            scores = _scores(left[at].astype(float), left[-1].astype(float))
+            i = int(scores.argmax())
+            if scores[i] > best:
+                best, found = scores[i], (f, float(_middle(v[at[i]], v[at[i] + 1])))
+    return found
+
+
+def _subtree(classes: Sequence[int], min_leaf: int, max_depth: int | None):
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = np.stack(pdf["x"].to_numpy()), np.searchsorted(classes, pdf["y"].to_numpy())
+        hot = np.eye(len(classes), dtype=np.int64)[y]
+        out, todo = [], [(pdf["path"].iloc[0], np.arange(len(x)))]
+        while todo:
+            path, rows = todo.pop()
+            counts = hot[rows].sum(axis=0)
+            top = int(counts.argmax())
+            split = None
+            if counts[top] < len(rows) and (max_depth is None or len(path) < max_depth):
+                split = _best(x[rows], hot[rows], min_leaf)
+            out.append((path, *(split or (None, None)), len(rows), int(classes[top]), int(counts[top])))
+            if split:
+                low = x[rows, split[0]] <= split[1]
+                todo += [(path + "0", rows[low]), (path + "1", rows[~low])]
+        frame = pd.DataFrame(out, columns=["path", "feature", "threshold", "n", "majority", "hits"])
+        return frame.astype({"feature": "Int32"})
+
+    return grow
+
+
+def _stretch(k: int, min_leaf: int):
+    """The best split of each node by each column among the values of one sorted stretch."""
+    c = [f"c{i}" for i in range(k)]
+
+    def score(cells: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        cells = cells.sort_values(["path", "f", "v"], kind="stable").merge(known, on=["path", "f"], how="left", suffixes=("", "_"))
+        keys = cells[["path", "f"]]
+        inside = cells.groupby(["path", "f"], sort=False)
+        left = inside[c].cumsum().to_numpy(dtype=float) + cells[[f"before_{x}" for x in c]].to_numpy(dtype=float)
+        total = cells[[f"total_{x}" for x in c]].to_numpy(dtype=float)
+        high = inside["v"].shift(-1).fillna(cells["next"]).to_numpy(dtype=float)
+        n, whole = left.sum(axis=1), total.sum(axis=1)
+        fit = ~np.isnan(high) & (n >= min_leaf) & (whole - n >= min_leaf)
+        out = keys.assign(score=_scores(left, total), threshold=_middle(cells["v"].to_numpy(dtype=float), high))[fit]
+        return out.sort_values("score", ascending=False, kind="stable").drop_duplicates(["path", "f"])
+
+    return score
+
+
+def _splits(rows: DataFrame, classes: Sequence[int], min_leaf: int, stretch_rows: int) -> DataFrame:
+    """``(path, feature, threshold)`` of every node of ``rows`` that can be split."""
+    c = [f"c{i}" for i in range(len(classes))]
+    per_value = rows.select("path", "y", F.posexplode("x").alias("f", "v")).groupBy("path", "f", "v").agg(*[F.count_if(F.col("y") == label).alias(x) for x, label in zip(c, classes)])
+    per_value = cut_plan(per_value)
+    parts = max(1, -(-per_value.count() // stretch_rows))
+    cells = cut_plan(per_value.repartitionByRange(parts, "path", "f", "v").withColumn("part", F.spark_partition_id()))
+    ends = cells.groupBy("part", "path", "f").agg(*[F.sum(x).alias(x) for x in c], F.min("v").alias("least"))
+    node = Window.partitionBy("path", "f")
+    ahead = node.orderBy("part")
+    known = ends.select(
+        F.col("part").alias("of_part"), "path", "f", F.lead("least").over(ahead).alias("next"),
+        *[F.coalesce(F.sum(x).over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"before_{x}") for x in c],
+        *[F.sum(x).over(node).alias(f"total_{x}") for x in c],
+    )
+    best = cells.groupBy("part").cogroup(known.groupBy("of_part")).applyInPandas(_stretch(len(classes), min_leaf), "path string, f int, score double, threshold double")
+    first = F.struct(F.col("score"), -F.col("f"), -F.col("threshold"))
+    return best.groupBy("path").agg(F.max_by(F.struct(F.col("f").alias("feature"), "threshold"), first).alias("s")).select("path", "s.*")
 
 
 def fit_tree(
-    train: DataFrame, features: Sequence[str], label: str = "label", min_leaf: int = 3, max_bins: int = 256, seed: int = 10
-) -> DecisionTreeClassificationModel:
-    """Gini tree with at least ``min_leaf`` rows per leaf. "No depth limit" is 30 levels,
-    the most Spark allows; ``max_bins`` sets how many split candidates a column has."""
-    ensure_checkpoint_dir(train.sparkSession)
-    data = _vectors(train.select(*features, F.col(label).cast("double").alias("label")), features)
-    return DecisionTreeClassifier(
-        labelCol="label",
-        featuresCol="features",
-        impurity="gini",
-        minInstancesPerNode=min_leaf,
-        maxDepth=MAX_DEPTH,
-        maxBins=max_bins,
-        cacheNodeIds=True,
-        seed=seed,
-    ).fit(data)
-
-
-def predict(model: DecisionTreeClassificationModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    train: DataFrame,
+    features: Sequence[str],
+    label: str = "label",
+    min_leaf: int = 3,
+    max_depth: int | None = None,
+    small_rows: int = SMALL_ROWS,
+    stretch_rows: int = STRETCH_ROWS,
+) -> Tree:
+    """Gini tree with at least ``min_leaf`` rows per leaf, split at every distinct value (half
+    way to the next) until nodes are pure or cannot be split. Of equally good splits the first
+    column's lowest is taken. Rows with a missing feature or label are left out. The number of
+    classes is the width of what is counted; ``small_rows`` does not change the tree."""
+    complete = train.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), F.col(label).cast("int").alias("y")).filter(
+        F.col("y").isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v))
+    )
+    rows = cut_plan(complete.withColumn("path", F.lit("")))
+    spark = train.sparkSession
+    classes = sorted(r["y"] for r in rows.select("y").distinct().collect())
+    done = [small_table(spark, [], _NODES)]
+    level = 0
+    while True:
+        sizes = cut_plan(rows.groupBy("path", "y").agg(F.count(F.lit(1)).alias("m")).groupBy("path").agg(F.sum("m").alias("n"), F.max_by("y", F.struct("m", -F.col("y"))).alias("majority"), F.max("m").alias("hits")))
+        large = sizes.filter(F.col("n") > small_rows)
+        few = salted_join(rows, sizes.filter(F.col("n") <= small_rows).select("path"), ["path"], F.hash("x"))
+        done.append(cut_plan(few.groupBy("path").applyInPandas(_subtree(classes, min_leaf, max_depth), _NODES)))
+        if not large.limit(1).count():
+            break
+        ahead = large.filter((F.col("hits") < F.col("n")) & F.lit(max_depth is None or level < max_depth)).select("path")
+        open_rows = cut_plan(salted_join(rows, ahead, ["path"], F.hash("x")))
+        splits = cut_plan(_splits(open_rows, classes, min_leaf, stretch_rows))
+        done.append(cut_plan(large.join(splits, "path", "left").select("path", "feature", "threshold", "n", "majority", "hits")))
+        low = F.element_at("x", F.col("feature") + 1) <= F.col("threshold")
+        moved = salted_join(open_rows, splits, ["path"], F.hash("x"))
+        rows = cut_plan(moved.select("x", "y", F.concat("path", F.when(low, "0").otherwise("1")).alias("path")))
+        level += 1
+    nodes = done[0]
+    for part in done[1:]:
+        nodes = nodes.unionByName(part)
+    return Tree(cut_plan(nodes), tuple(features))
+
+
+def leaves(model: Tree, df: DataFrame, shipped: int = SHIPPED_NODES) -> DataFrame:
+    """``df`` with the ``leaf`` (its path) and ``prediction`` of each row; a missing value goes to
+    the right. Up to ``shipped`` nodes travel to the tasks; a larger tree is walked a level at a
+    time by joins."""
+    x = [F.col(c).cast("double") for c in model.features]
+    held = [f"__x{i}" for i in range(len(x))]
+    head = model.nodes.select("path", "feature", "threshold", "majority").limit(shipped + 1).toPandas()
+    if len(head) <= shipped:
+        place = {p: i for i, p in enumerate(head["path"])}
+        inner = head["feature"].notna().to_numpy()
+        feature, threshold = head["feature"].fillna(0).to_numpy(dtype=np.int64), head["threshold"].to_numpy(dtype=float)
+        down = np.array([[place[p + s] if i else place[p] for s in "01"] for p, i in zip(head["path"], inner)], np.int64).reshape(-1, 2)
+        paths, majority = head["path"].to_numpy(), head["majority"].to_numpy()
+
+        def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                values = pdf[held].to_numpy(dtype=float)
+                at = np.full(len(pdf), place.get("", 0))
+                while len(at) and inner[at].any():
+                    right = ~(values[np.arange(len(at)), feature[at]] <= threshold[at])
+                    at = down[at, right.astype(np.int64)]
+                yield pdf.drop(columns=held).assign(leaf=paths[at], prediction=majority[at].astype(np.int32))
+
+        wide = df.select(*df.columns, *[v.alias(name) for name, v in zip(held, x)])
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        return wide.mapInPandas(walk, f"{fields}, leaf string, prediction int")
+    at = df.withColumns({"leaf": F.lit(""), "__x": F.array(*x)})
+    known = model.nodes.select(F.col("path").alias("leaf"), "feature", "threshold", "majority")
+    while True:
+        at = cut_plan(salted_join(at, known, ["leaf"], F.hash("__x")))
+        if not at.filter(F.col("feature").isNotNull()).limit(1).count():
+            return at.withColumnRenamed("majority", "prediction").select(*df.columns, "leaf", "prediction")
+        low = F.coalesce(F.element_at("__x", F.col("feature") + 1) <= F.col("threshold"), F.lit(False))
+        step = F.when(F.col("feature").isNull(), "").when(low, "0").otherwise("1")
+        at = at.withColumn("leaf", F.concat("leaf", step)).select(*df.columns, "leaf", "__x")
+
+
+def predict(model: Tree, df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """Add an integer ``prediction``."""
-    out = model.transform(_vectors(df, features))
-    return out.select(*df.columns, F.col("prediction").cast("int").alias("prediction"))
+    return leaves(model, df).drop("leaf")
 
 
-def label_outliers(
-    inside: DataFrame,
-    labels: DataFrame,
-    outside: DataFrame,
-    model: DecisionTreeClassificationModel,
-    key: str,
-    features: Sequence[str],
-) -> DataFrame:
+def label_outliers(inside: DataFrame, labels: DataFrame, outside: DataFrame, model: Tree, key: str, features: Sequence[str]) -> DataFrame:
     """Labelled rows and predicted outliers in one table, with an ``outlier`` flag.
     Outliers with a missing feature cannot be placed and are left out."""
     known = attach_labels(inside.select(key, *features), labels, key).withColumn("outlier", F.lit(False))
-    placed = predict(model, outside.select(key, *features).dropna(), features)
+    placed = predict(model, outside.select(key, *features).dropna())
     return stack(known, placed.withColumnRenamed("prediction", "label").withColumn("outlier", F.lit(True)))
 
 
-def tree_leaf_profile(model: DecisionTreeClassificationModel, df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
-    """``(leaf, n, majority, purity)``: what each leaf of the tree holds."""
-    model.setLeafCol("leaf")
-    leaves = model.transform(_vectors(df, features)).select(F.col("leaf").cast("int").alias("leaf"), F.col(label).cast("int").alias("l"))
-    per_label = leaves.groupBy("leaf", "l").agg(F.count(F.lit(1)).alias("n"))
+def tree_leaf_profile(model: Tree, df: DataFrame, features: Sequence[str] | None = None, label: str = "label") -> DataFrame:
+    """``(leaf, n, majority, purity)``: what each leaf of the tree holds of ``df``."""
+    placed = leaves(model, df).select("leaf", F.col(label).cast("int").alias("l"))
+    per_label = placed.groupBy("leaf", "l").agg(F.count(F.lit(1)).alias("n"))
     return per_label.groupBy("leaf").agg(
         F.sum("n").alias("n"),
         F.min_by("l", F.struct(-F.col("n"), F.col("l"))).alias("majority"),

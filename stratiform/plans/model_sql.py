@@ -116,3 +116,35 @@ def silhouette(members: str, cols: Sequence[str], tag: str = "", key: str = KEY,
         f"min(CASE WHEN own <> other THEN s / n END) AS b FROM pd{tag} GROUP BY 1, 2),\n"
         f"sil{tag} AS (SELECT {key}, own AS label, CASE WHEN n_own = 1 THEN 0.0 WHEN greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM ab{tag})"
     )
+
+
+def tree(frame: str, cols: Sequence[str], classes: int, min_leaf: int, levels: int) -> str:
+    """``t<i>`` the rows with their node ``path`` after i splits, ``s<i>`` the split of each node,
+    ``nodes`` all nodes: gini purity, the first column's lowest value of equals."""
+    total, low = [f"t{c}" for c in range(classes)], [f"l{c}" for c in range(classes)]
+    square = lambda side: " + ".join(f"({x}) * ({x})" for x in side)
+    rest = [f"t{c} - l{c}" for c in range(classes)]
+    parts = [f"t0 AS (SELECT *, '' AS path FROM {frame})"]
+    for i in range(levels):
+        long = " UNION ALL ".join(f"SELECT path, {f} AS f, {x} AS v, label FROM t{i}" for f, x in enumerate(cols))
+        parts.append(f"v{i} AS (SELECT path, f, v, {', '.join(f'CAST(count(*) FILTER (WHERE label = {c}) AS DOUBLE) AS c{c}' for c in range(classes))} FROM ({long}) GROUP BY path, f, v)")
+        sums = ", ".join(f"sum(c{c}) OVER (PARTITION BY path, f ORDER BY v) AS l{c}, sum(c{c}) OVER (PARTITION BY path, f) AS t{c}" for c in range(classes))
+        parts.append(f"w{i} AS (SELECT path, f, v, lead(v) OVER (PARTITION BY path, f ORDER BY v) AS nxt, {sums} FROM v{i})")
+        n, m = " + ".join(low), " + ".join(f"({x})" for x in rest)
+        score = f"({square(low)}) / ({n}) + ({square(rest)}) / ({m})"
+        parts.append(
+            f"s{i} AS (SELECT path, f, (v + nxt) / 2 AS thr FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY {score} DESC, f, v) AS rn FROM w{i} "
+            f"WHERE nxt IS NOT NULL AND {n} >= {min_leaf} AND {m} >= {min_leaf} AND greatest({', '.join(total)}) < {' + '.join(total)}) WHERE rn = 1)"
+        )
+        value = "CASE s.f " + " ".join(f"WHEN {f} THEN t.{x}" for f, x in enumerate(cols)) + " END"
+        parts.append(f"t{i + 1} AS (SELECT t.* EXCLUDE (path), t.path || CASE WHEN {value} <= s.thr THEN '0' ELSE '1' END AS path FROM t{i} t JOIN s{i} s USING (path))")
+    every = " UNION ALL ".join(f"SELECT path, label FROM t{i}" for i in range(levels + 1))
+    splits = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(levels))
+    parts.append(f"per AS (SELECT path, label, count(*) AS m FROM ({every}) GROUP BY path, label)")
+    parts.append(
+        "nodes AS (SELECT p.path, CAST(s.f AS INTEGER) AS feature, s.thr AS threshold, p.n, p.majority, p.hits FROM (SELECT path, CAST(sum(m) AS BIGINT) AS n, arg_max(label, m * 1000 - label) AS majority, max(m) AS hits "
+        f"FROM per GROUP BY path) p LEFT JOIN ({splits}) s USING (path))"
+    )
+    leaf = " UNION ALL ".join([f"SELECT * FROM t{levels}"] + [f"SELECT t.* FROM t{i} t ANTI JOIN s{i} s USING (path)" for i in range(levels)])
+    parts.append(f"placed AS ({leaf})")
+    return ",\n".join(parts)

@@ -529,14 +529,14 @@ def _(spark, sf):
     """Depth, nodes and training size of the tree on the k-means labels."""
     s = flows.segment(spark, sf)
     model, train, _ = flows.explain(s)
-    return small_table(spark, [(model.depth, model.numNodes, train.count())], "depth int, nodes int, train_rows bigint")
+    return small_table(spark, [(model.depth, model.size, train.count())], "depth int, nodes int, train_rows bigint")
 
 
 @query("D3_predict")
 def _(spark, sf):
     s = flows.segment(spark, sf)
     model, _, test = flows.explain(s)
-    return tree.predict(model, test, X).select(KEY, "label", "prediction")
+    return tree.predict(model, test).select(KEY, "label", "prediction")
 
 
 @query("D7_label_outliers")
@@ -556,7 +556,7 @@ def _(spark, sf):
 def _(spark, sf):
     s = flows.segment(spark, sf)
     model, train, _ = flows.explain(s)
-    return rounded(tree.tree_leaf_profile(model, train, X))
+    return rounded(tree.tree_leaf_profile(model, train))
 
 
 # ---- flows ---------------------------------------------------------------------------
@@ -578,4 +578,4 @@ def _(spark, sf):
 def _(spark, sf):
     s = flows.segment(spark, sf)
     model, _, test = flows.explain(s)
-    return rounded(ev.classification_report(tree.predict(model, test, X)))
+    return rounded(ev.classification_report(tree.predict(model, test)))

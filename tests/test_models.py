@@ -304,15 +304,58 @@ def test_tree_flow(spark, blobs):
     labelled = ce.assign_nearest(df, centers).drop("sq_dist")
     train, test = tree.split_by_key(labelled, "k", 0.7, 1)
     model = tree.fit_tree(train, COLS)
-    pred = tree.predict(model, test, COLS)
-    assert ev.accuracy(pred).first()[0] > 0.95
-    leaves = tree.tree_leaf_profile(model, train, COLS).collect()
+    pred = tree.predict(model, test)
+    share, n = ev.accuracy(pred).first()[0], pred.count()
+    hits = sum(row[f"p{row['actual']}"] for row in ev.confusion_matrix(pred).collect())
+    told = ev.classification_report(pred).filter("label = 'accuracy'").first()
+    assert share == pytest.approx(hits / n) == told["precision"] and told["support"] == n and train.count() + n == len(blobs) and share > 0.95
+    leaves = tree.tree_leaf_profile(model, train).collect()
     assert sum(r.n for r in leaves) == train.count() and min(r.n for r in leaves) >= 3
     outside = spark.createDataFrame([(900, 9.0, 9.0, 9.0), (901, None, 0.0, 0.0)], "k bigint, c0 double, c1 double, c2 double")
     whole = tree.label_outliers(df, labelled, outside, model, "k", COLS)
     assert whole.count() == len(blobs) + 1 and whole.filter("outlier").count() == 1
 
 
+def brute_tree(x, y, min_leaf, path="", out=None):
+    """Every column, every distinct value, recursively."""
+    out = {} if out is None else out
+    values, counts = np.unique(y, return_counts=True)
+    best = None
+    for f in range(x.shape[1]) if len(values) > 1 else ():
+        v = np.unique(x[:, f])
+        for low, high in zip(v, v[1:]):
+            sides = y[x[:, f] <= low], y[x[:, f] > low]
+            if min(map(len, sides)) >= min_leaf:
+                score = sum((np.unique(s, return_counts=True)[1] ** 2).sum() / len(s) for s in sides)
+                if best is None or score > best[0]:
+                    best = (score, f, (low + high) / 2)
+    out[path] = (None if best is None else best[1], None if best is None else pytest.approx(best[2]), len(y), values[counts.argmax()], counts.max())
+    if best:
+        left = x[:, best[1]] <= best[2]
+        brute_tree(x[left], y[left], min_leaf, path + "0", out)
+        brute_tree(x[~left], y[~left], min_leaf, path + "1", out)
+    return out
+
+
+@pytest.mark.parametrize("small_rows", [1000, 25])
+def test_tree_equals_brute_force(spark, small_rows):
+    """300 rows of three noisy columns, one of them mostly one value, grown in one task and level by level."""
+    r = np.random.default_rng(6)
+    x = np.stack([r.normal(size=300).round(1), np.where(r.random(300) < 0.4, 0.0, r.integers(-9, 9, 300)), r.integers(0, 3, 300)], 1)
+    y = (x[:, 0] > 0.2).astype(int) + 2 * (x[:, 1] > 3) + (r.random(300) < 0.1)
+    want = brute_tree(x, y, 3)
+    df = spark.createDataFrame([(i, *map(float, row), int(v)) for i, (row, v) in enumerate(zip(x, y))] + [(300, None, 1.0, 1.0, 0), (301, 1.0, 1.0, 1.0, None)], "k bigint, c0 double, c1 double, c2 double, label int")
+    model = tree.fit_tree(df, COLS, small_rows=small_rows, stretch_rows=40)
+    got = {n.path: (n.feature, n.threshold, n.n, n.majority, n.hits) for n in model.nodes.collect()}
+    assert got == want and model.depth == max(map(len, want)) and model.size == len(want)
+    if small_rows < 300:
+        return
+    rows = {row.k: (row.leaf, row.prediction) for row in tree.leaves(model, df).collect()}
+    assert all(want[leaf][0] is None and want[leaf][3] == p for leaf, p in rows.values()) and len(rows) == 302
+    assert {row.k: (row.leaf, row.prediction) for row in tree.leaves(model, df, shipped=0).collect()} == rows
+    assert tree.fit_tree(df.limit(0), COLS).size == 0
+
+
 def test_report_with_a_class_never_predicted(spark):
     pred = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (2, 1)], "label int, prediction int")
     rep = {r.label: r for r in ev.classification_report(pred).collect()}
