@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions.skew import salted_join
-from stratiform.session import cut_lineage, cut_plan
+from stratiform.session import cut_lineage
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """``(node, component)`` where the component is the lowest node name in it.
 
     Every round takes the lowest label among the neighbours and then follows labels one
-    step further (pointer jumping), so long chains shrink geometrically. Every round is
-    written. Many nodes share a label towards the end, hence the salted lookup.
+    step further (pointer jumping), so long chains shrink geometrically. Rounds are
+    checkpointed, or kept by ``cut``. Many nodes share a label towards the end, hence the salted lookup.
     """
     both = cut_lineage(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut_lineage(nodes.select("node", F.col("node").alias("component")))
@@ -25,7 +27,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
         stepped = cut_lineage(stepped)
         roots = stepped.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        jumped = cut_plan(
+        jumped = cut(
             salted_join(stepped, roots, ["component"], F.col("node"), "left").select(
                 "node", "old", F.least("component", F.coalesce("next", "component")).alias("component")
             )

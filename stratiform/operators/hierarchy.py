@@ -333,7 +333,7 @@ def _cuts(points: DataFrame, merges: DataFrame, k_list: Sequence[int]) -> DataFr
     largest k, and the groups they join come to the driver."""
     top = merges.orderBy(F.desc("h"), F.desc("a"), F.desc("b")).limit(max(k_list) - 1)
     high = small_table(points.sparkSession, [tuple(r) for r in top.collect()], MERGES)
-    parts = connected_components(points.select(F.col("label").cast("bigint").alias("node")), merges.join(high, "b", "left_anti").select("a", "b"))
+    parts = connected_components(points.select(F.col("label").cast("bigint").alias("node")), merges.join(high, "b", "left_anti").select("a", "b"), cut_plan)
     of = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))
     last = [tuple(r) for r in high.join(of("a"), "a").join(of("b"), "b").select("of_a", "of_b", "h").collect()]
     ids = sorted(r["component"] for r in parts.select("component").distinct().collect())

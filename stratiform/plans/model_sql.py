@@ -148,3 +148,36 @@ def tree(frame: str, cols: Sequence[str], classes: int, min_leaf: int, levels: i
     leaf = " UNION ALL ".join([f"SELECT * FROM t{levels}"] + [f"SELECT t.* FROM t{i} t ANTI JOIN s{i} s USING (path)" for i in range(levels)])
     parts.append(f"placed AS ({leaf})")
     return ",\n".join(parts)
+
+
+def walk(frame: str, cols: Sequence[str], levels: int) -> str:
+    """``<frame>_leaf``: the rows of ``frame`` with the ``path`` of their leaf in ``tree``."""
+    parts, at = [], f"(SELECT *, '' AS path FROM {frame})"
+    for i in range(levels):
+        value = "CASE s.f " + " ".join(f"WHEN {f} THEN t.{x}" for f, x in enumerate(cols)) + " END"
+        name = f"{frame}_leaf" if i == levels - 1 else f"{frame}_{i}"
+        parts.append(f"{name} AS (SELECT t.* EXCLUDE (path), t.path || CASE WHEN s.f IS NULL THEN '' WHEN {value} <= s.thr THEN '0' ELSE '1' END AS path FROM {at} t LEFT JOIN s{i} s USING (path))")
+        at = name
+    return ",\n".join(parts)
+
+
+def linkage(table: str, cols: Sequence[str], name: str, merges: int) -> str:
+    """``p<i>`` the i-th merge ``(a, b, h)`` of the clusters ``(label, <cols>, n)``: one at a time,
+    lowest ``(h, a, b)`` first, by the update formula of the linkage."""
+    start = sq("x", "y", cols) if name == "ward" else f"sqrt({sq('x', 'y', cols)})"
+    parts = [f"d0 AS (SELECT x.label AS a, y.label AS b, CAST(x.n AS DOUBLE) AS na, CAST(y.n AS DOUBLE) AS nb, {start} AS s FROM {table} x JOIN {table} y ON x.label < y.label)"]
+    for i in range(merges):
+        h = "sqrt(2 * na * nb / (na + nb) * s)" if name == "ward" else "s"
+        parts.append(f"p{i} AS (SELECT a, b, {h} AS h, na, nb, s FROM d{i} ORDER BY 3, 1, 2 LIMIT 1)")
+        # Every pair, with the merged cluster under its first name.
+        parts.append(
+            f"q{i} AS (SELECT least(a, b) AS a, greatest(a, b) AS b, CASE WHEN a < b THEN na ELSE nb END AS na, CASE WHEN a < b THEN nb ELSE na END AS nb, s, w FROM ("
+            f"SELECT CASE WHEN d.a = p.b THEN p.a ELSE d.a END AS a, CASE WHEN d.b = p.b THEN p.a ELSE d.b END AS b, "
+            f"CASE WHEN d.a IN (p.a, p.b) THEN p.na + p.nb ELSE d.na END AS na, CASE WHEN d.b IN (p.a, p.b) THEN p.na + p.nb ELSE d.nb END AS nb, "
+            f"d.s, CASE WHEN d.a IN (p.a, p.b) THEN d.na WHEN d.b IN (p.a, p.b) THEN d.nb ELSE 1 END AS w FROM d{i} d CROSS JOIN p{i} p WHERE NOT (d.a = p.a AND d.b = p.b)))"
+        )
+        new = {"complete": "max(s)", "weighted": "avg(s)"}.get(name, "sum(w * s) / sum(w)")
+        if name == "ward":
+            new = f"{new} - CASE WHEN count(*) = 2 THEN (SELECT s * na * nb / ((na + nb) * (na + nb)) FROM p{i}) ELSE 0 END"
+        parts.append(f"d{i + 1} AS (SELECT a, b, max(na) AS na, max(nb) AS nb, {new} AS s FROM q{i} GROUP BY a, b)")
+    return ",\n".join(parts)

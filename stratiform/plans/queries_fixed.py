@@ -12,6 +12,7 @@ from stratiform.operators import centers as ce
 from stratiform.operators import columns as c
 from stratiform.operators import describe as d
 from stratiform.operators import evaluate as ev
+from stratiform.operators import hierarchy as hi
 from stratiform.operators import kmodes as km
 from stratiform.operators import mixture as mi
 from stratiform.operators import pca
@@ -20,7 +21,7 @@ from stratiform.operators import tree
 from stratiform.operators.density_blocks import dbscan_blocks
 from stratiform.plans import flows
 from stratiform.plans import model_sql as ms
-from stratiform.plans.queries_models import CAT, MODE_ROUNDS, K, X, _categories, _modes_sql, _near_labels, first_centers, fixed_labels
+from stratiform.plans.queries_models import CAT, MODE_ROUNDS, REPORT, REPORT_CTES, K, X, _categories, _modes_sql, _near_labels, first_centers, fixed_labels
 from stratiform.plans.registry import ctes, query, r, rounded, rs
 from stratiform.session import small_table
 from stratiform.sources.mart import KEY, PREMIUMS
@@ -323,3 +324,75 @@ def _(spark, sf):
 def _(spark, sf):
     model, rows = _two_levels(spark, sf)
     return rounded(tree.tree_leaf_profile(model, rows))
+
+
+@query(
+    "E5_explain_two_levels",
+    ctes("std", f"{_TREE},\npred AS (SELECT p.label, n.majority AS prediction FROM placed p JOIN nodes n USING (path)),\n{REPORT_CTES}") + REPORT,
+)
+def _(spark, sf):
+    """How well the two levels tell the labels apart."""
+    model, rows = _two_levels(spark, sf)
+    return rounded(ev.classification_report(tree.predict(model, rows)))
+
+
+_OUTSIDE = f"""far AS (SELECT * FROM (SELECT {KEY}, {', '.join(X[:4])}, {', '.join(f'CASE WHEN total_premiums <> 0 THEN {p} / total_premiums END AS {p}_pct' for p in PREMIUMS)} FROM outside)
+  WHERE {' AND '.join(f'{x} IS NOT NULL' for x in X)})"""
+_WHOLE = (
+    f"{_TREE},\n{_OUTSIDE},\n{ms.walk('far', TWO, 2)},\nwhole AS (SELECT f.{KEY}, {', '.join('f.' + x for x in X)}, a0.label, false AS outlier FROM features f JOIN a0 USING ({KEY}) "
+    f"UNION ALL SELECT o.{KEY}, {', '.join('o.' + x for x in X)}, n.majority, true FROM far_leaf o JOIN nodes n USING (path))"
+)
+
+
+def _placed_outliers(spark, sf):
+    m = flows.model_frame(spark, sf)
+    labels = _near_labels(m.std)
+    model = tree.fit_tree(c.attach_labels(m.features.select(KEY, *TWO), labels, KEY), TWO, max_depth=2)
+    return flows.extend(flows.Segments(m, labels), model)
+
+
+@query("D7_outliers_by_two_levels", ctes("std", _WHOLE) + f"SELECT {KEY}, {rs(X)}, label, outlier FROM whole")
+def _(spark, sf):
+    """Labelled rows, and outliers placed by the tree of two levels."""
+    return rounded(_placed_outliers(spark, sf))
+
+
+@query("D7_profile_by_two_levels", ctes("std", _WHOLE) + f"SELECT label, {', '.join(r(f'avg({x})', x) for x in X)}, count(*) AS n FROM whole GROUP BY label")
+def _(spark, sf):
+    whole = _placed_outliers(spark, sf)
+    return rounded(pr.cluster_profile(whole.drop("label", "outlier"), whole.select(KEY, "label"), KEY, X))
+
+
+@query(
+    "E4_segment_profile_rounds",
+    ctes("std", ms.lloyd("std", X, K, 2)) + f"SELECT a2.label, {', '.join(r(f'avg(f.{x})', x) for x in X)}, count(*) AS n FROM a2 JOIN features f USING ({KEY}) GROUP BY a2.label",
+)
+def _(spark, sf):
+    """Segments after two rounds from fixed centers, in original units."""
+    m = flows.model_frame(spark, sf)
+    labels = ce.assign_nearest(m.std, ce.lloyd_rounds(m.std, first_centers(m.std, X, K), 2)).select(KEY, "label")
+    return rounded(pr.cluster_profile(m.std, labels, KEY, X, m.scaler))
+
+
+# ---- hierarchies ---------------------------------------------------------------------
+
+EIGHT = 8
+
+
+def _merges(name):
+    def run(spark, sf):
+        """The merges of eight groups that hold all rows, each by its mean and size."""
+        std = _std(spark, sf)
+        groups = ce.update_centers(ce.assign_nearest(std, first_centers(std, X, EIGHT)), X)
+        return rounded(hi.merge_rounds(groups, X, name, few=4).select(F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"), "h"))
+
+    return run
+
+
+for _name in hi.LINKAGES:
+    _groups = f"grp AS (SELECT label, {', '.join(f'avg({x}) AS {x}' for x in X)}, count(*) AS n FROM a0 GROUP BY label)"
+    query(
+        f"C16c_merges_{_name}",
+        ctes("std", ms.lloyd("std", X, EIGHT, 0) + f",\n{_groups},\n{ms.linkage('grp', X, _name, EIGHT - 1)}")
+        + " UNION ALL ".join(f"SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, {r('h')} FROM p{i}" for i in range(EIGHT - 1)),
+    )(_merges(_name))

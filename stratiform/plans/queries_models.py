@@ -497,20 +497,21 @@ def _(spark, sf):
     return rounded(ev.accuracy(_predictions(spark, sf)))
 
 
-@query(
-    "D6_classification_report",
-    ctes(
-        "std",
-        _PRED + ",\nids AS (SELECT DISTINCT label AS c FROM pred UNION SELECT DISTINCT prediction FROM pred),\n"
-        "cnt AS (SELECT c, (SELECT count(*) FROM pred WHERE label = c) AS support, (SELECT count(*) FROM pred WHERE prediction = c) AS guessed, (SELECT count(*) FROM pred WHERE label = c AND prediction = c) AS hit FROM ids),\n"
-        "prf AS (SELECT c, support, hit, CASE WHEN guessed > 0 THEN hit / guessed ELSE 0.0 END AS precision, CASE WHEN support > 0 THEN hit / support ELSE 0.0 END AS recall FROM cnt),\n"
-        "rep AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM prf)",
-    )
-    + f"SELECT CAST(c AS VARCHAR) AS label, {rs(['precision', 'recall', 'f1'])}, support FROM rep"
-    + f" UNION ALL SELECT 'macro avg', {', '.join(r(f'avg({m})', m) for m in ('precision', 'recall', 'f1'))}, CAST(sum(support) AS BIGINT) FROM rep"
-    + f" UNION ALL SELECT 'weighted avg', {', '.join(r(f'sum({m} * support) / sum(support)', m) for m in ('precision', 'recall', 'f1'))}, CAST(sum(support) AS BIGINT) FROM rep"
-    + f" UNION ALL SELECT 'accuracy', {', '.join(r('sum(hit) / sum(support)', m) for m in ('precision', 'recall', 'f1'))}, CAST(sum(support) AS BIGINT) FROM rep",
+REPORT_CTES = (
+    "ids AS (SELECT DISTINCT label AS c FROM pred UNION SELECT DISTINCT prediction FROM pred),\n"
+    "cnt AS (SELECT c, (SELECT count(*) FROM pred WHERE label = c) AS support, (SELECT count(*) FROM pred WHERE prediction = c) AS guessed, (SELECT count(*) FROM pred WHERE label = c AND prediction = c) AS hit FROM ids),\n"
+    "prf AS (SELECT c, support, hit, CASE WHEN guessed > 0 THEN hit / guessed ELSE 0.0 END AS precision, CASE WHEN support > 0 THEN hit / support ELSE 0.0 END AS recall FROM cnt),\n"
+    "rep AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM prf)"
+)
+REPORT = (
+    f"SELECT CAST(c AS VARCHAR) AS label, {rs(['precision', 'recall', 'f1'])}, support FROM rep"
+    f" UNION ALL SELECT 'macro avg', {', '.join(r(f'avg({m})', m) for m in ('precision', 'recall', 'f1'))}, CAST(sum(support) AS BIGINT) FROM rep"
+    f" UNION ALL SELECT 'weighted avg', {', '.join(r(f'sum({m} * support) / sum(support)', m) for m in ('precision', 'recall', 'f1'))}, CAST(sum(support) AS BIGINT) FROM rep"
+    f" UNION ALL SELECT 'accuracy', {', '.join(r('sum(hit) / sum(support)', m) for m in ('precision', 'recall', 'f1'))}, CAST(sum(support) AS BIGINT) FROM rep"
 )
+
+
+@query("D6_classification_report", ctes("std", f"{_PRED},\n{REPORT_CTES}") + REPORT)
 def _(spark, sf):
     return rounded(ev.classification_report(_predictions(spark, sf)))
 
