@@ -121,16 +121,20 @@ def clean_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SALARY_GRID = list(range(0, 7000, 500))
+PACK_BINS = 20
 RELATED = [("claims_rate", "customer_monetary_value"), ("gross_monthly_salary", "total_premiums"), ("cust_tenure", "total_premiums")]
 
 
 def descriptive_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(section, name, item, value)``: the descriptive views of the customers inside the
-    fences in one long table. The frame is kept once; every section is one aggregate of it."""
+    fences in one long table: counts, totals, positives and reversals, binned counts and sums, a
+    cross table, densities, histograms, a joint histogram, box tables with their quantiles, and
+    correlations. The frame is kept once; every section is an aggregate of it."""
     inside = split_outliers(spark, sf_dir)[0].persist()
 
     def tell(df, section, name, item, value):
-        return df.select(F.lit(section).alias("section"), F.lit(name).alias("name"), item.cast("string").alias("item"), value.cast("double").alias("value"))
+        return df.select(F.lit(section).alias("section"), (F.lit(name) if isinstance(name, str) else name).alias("name"), item.cast("string").alias("item"), value.cast("double").alias("value"))
 
     parts = [tell(d.category_share(inside, x), "count", x, F.col(x), F.col("n")) for x in CATEGORIES]
     parts.append(tell(d.sum_by_measure(inside, PREMIUMS), "premium_total", "all", F.col("variable"), F.col("total")))
@@ -142,12 +146,27 @@ def descriptive_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts.append(tell(binned, "binned", col, F.col("bin"), F.col("n")))
     one = inside.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(RELATED)])
     parts += [tell(one, "correlation", a, F.lit(b), F.col(f"c{i}")) for i, (a, b) in enumerate(RELATED)]
+    parts.append(tell(d.correlation(inside, NUMBERS).filter(F.col("r").isNotNull()), "correlation_matrix", F.col("a"), F.col("b"), F.col("r")))
+    spent = d.sum_by_bin(inside, "claims_rate", CLAIM_EDGES, CLAIM_LABELS, PREMIUMS).unpivot(["bin"], PREMIUMS, "variable", "total")
+    parts.append(tell(spent, "premium_by_claims", F.col("variable"), F.col("bin"), F.col("total")))
+    binned = c.cut(inside, "gross_monthly_salary", SALARY_EDGES, SALARY_LABELS, "salary_bin").filter(F.col("salary_bin").isNotNull())
+    parts.append(tell(d.count_by(binned, ["salary_bin", "geographic_area"]), "salary_by_area", F.col("salary_bin"), F.col("geographic_area"), F.col("n")))
+    parts.append(tell(d.kde(inside, "gross_monthly_salary", SALARY_GRID, by="edu_desc"), "salary_density_per_million", F.col("edu_desc"), F.col("position"), F.col("density") * 1e6))
+    parts.append(tell(d.histogram(inside, NUMBERS, PACK_BINS), "histogram", F.col("column"), F.col("bin"), F.col("n")))
+    x, y = JOINT
+    parts.append(tell(d.joint_histogram(inside, x, y, PACK_BINS), "joint_histogram", F.lit(f"{x}, {y}"), F.concat_ws(",", "x_bin", "y_bin"), F.col("n")))
+    boxes = d.box_stats(inside, NUMBERS, FENCE_LO, FENCE_HI).withColumn("n_outside", F.col("n_outside").cast("double"))
+    parts.append(tell(boxes.unpivot(["column"], [*BOX, "n_outside"], "variable", "value"), "box", F.col("column"), F.col("variable"), F.col("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+JOINT = ("cust_acq_cost", "customer_monetary_value")
+BOX = ["whisker_lo", "q1", "median", "q3", "whisker_hi"]
+
+
 @dataclass(frozen=True)
 class ModelFrame:
     """What every clustering starts from. ``std`` is cached, dealt by key, so labels made

@@ -267,13 +267,43 @@ def _pack_sql() -> str:
         parts.append(f"SELECT 'binned', '{col}', {case}, CAST(count(*) AS DOUBLE) FROM inside WHERE {case} IS NOT NULL GROUP BY 3")
     for a, b in flows.RELATED:
         parts.append(f"SELECT 'correlation', '{a}', '{b}', corr({a}, {b}) FROM inside")
-    return "SELECT section, name, item, round(value, 2) + 0.0 AS value FROM (" + " UNION ALL ".join(parts) + ")"
+    numbers, (x, y), n = flows.NUMBERS, flows.JOINT, flows.PACK_BINS
+    parts += [f"SELECT 'correlation_matrix', '{a}', '{b}', corr({a}, {b}) FROM inside HAVING stddev_pop({a}) * stddev_pop({b}) > 0" for a in numbers for b in numbers]
+    label = lambda col, edges, labels: "CASE " + " ".join(f"WHEN {col} > {a} AND {col} <= {b} THEN '{t}'" for a, b, t in zip(edges, edges[1:], labels)) + " END"
+    claims = label("claims_rate", flows.CLAIM_EDGES, flows.CLAIM_LABELS)
+    parts += [f"SELECT 'premium_by_claims', '{p}', '{t}', coalesce(sum({p}) FILTER (WHERE {claims} = '{t}'), 0) FROM inside" for p in PREMIUMS for t in flows.CLAIM_LABELS]
+    salary = label("gross_monthly_salary", flows.SALARY_EDGES, flows.SALARY_LABELS)
+    parts.append(f"SELECT 'salary_by_area', {salary}, geographic_area, count(*) FROM inside WHERE {salary} IS NOT NULL GROUP BY 2, 3")
+    grid = ", ".join(f"({i}, {g})" for i, g in enumerate(flows.SALARY_GRID))
+    gap = "(x - gross_monthly_salary) / h"
+    parts.append(
+        f"SELECT 'salary_density_per_million', edu_desc, CAST(position AS VARCHAR), avg(exp(-0.5 * ({gap}) * ({gap}))) / max(h * sqrt(2 * pi())) * 1e6 FROM inside "
+        "JOIN (SELECT edu_desc, stddev_samp(gross_monthly_salary) * pow(count(*), -0.2) AS h FROM inside GROUP BY 1) USING (edu_desc) "
+        f"CROSS JOIN (VALUES {grid}) g(position, x) WHERE h > 0 GROUP BY edu_desc, position"
+    )
+    place = lambda col, lo, hi: f"CAST(least(floor(({col} - {lo}) / (({hi} - {lo}) / {n})), {n - 1}) AS INTEGER)"
+    parts += [
+        f"SELECT 'histogram', '{c}', CAST(i AS VARCHAR), coalesce(m, 0) FROM range({n}) t(i) LEFT JOIN (SELECT {place(c, 'lo', 'hi')} AS b, count(*) AS m FROM inside CROSS JOIN "
+        f"(SELECT min({c}) AS lo, max({c}) AS hi FROM inside) GROUP BY 1) ON b = i"
+        for c in numbers
+    ]
+    parts.append(
+        f"SELECT 'joint_histogram', '{x}, {y}', {place(x, 'xl', 'xh')} || ',' || {place(y, 'yl', 'yh')}, count(*) FROM inside CROSS JOIN "
+        f"(SELECT min({x}) AS xl, max({x}) AS xh, min({y}) AS yl, max({y}) AS yh FROM inside) GROUP BY 3"
+    )
+    for c in numbers:
+        shares = dict(zip(flows.BOX, (flows.FENCE_LO, 0.25, 0.5, 0.75, flows.FENCE_HI)))
+        parts += [f"SELECT 'box', '{c}', '{name}', quantile_cont({c}, {p}) FROM inside" for name, p in shares.items()]
+        parts.append(f"SELECT 'box', '{c}', 'n_outside', count(*) FROM inside CROSS JOIN (SELECT quantile_cont({c}, {flows.FENCE_LO}) AS lo, quantile_cont({c}, {flows.FENCE_HI}) AS hi FROM inside) WHERE {c} < lo OR {c} > hi")
+    # Interpolated quantiles of four-decimal money have six decimals; at two, some would be ties.
+    return "SELECT section, name, item, CASE section WHEN 'box' THEN round(CAST(value AS DOUBLE), 6) ELSE round(CAST(value AS DOUBLE), 2) END + 0.0 AS value FROM (" + " UNION ALL ".join(parts) + ")"
 
 
 @query("E6_descriptive_pack", ctes("inside") + _pack_sql())
 def _(spark, sf):
-    """Counts by category, premium totals, policies and reversals, binned counts, correlations."""
-    return rounded(flows.descriptive_pack(spark, sf), 2)
+    """All descriptive views of the customers inside the fences."""
+    pack = flows.descriptive_pack(spark, sf)
+    return pack.withColumn("value", F.when(F.col("section") == "box", F.round("value", 6)).otherwise(F.round("value", 2)) + F.lit(0.0))
 
 
 @query("E5_tree_scores_agree")
