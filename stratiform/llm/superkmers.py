@@ -16,7 +16,8 @@ minimisers. Consecutive windows with the same minimiser form one super-k-mer.
    joins with the texts use the same exchange.
 
 A minimiser that a third of all texts share sends one string for each task, not for each
-text; no group is collected but the windows of one bucket, whose number is a parameter.
+text. A bucket is judged in parts of whole minimisers with at most ``PART_BYTES`` of text,
+since judging takes about a hundred bytes for each of them.
 
 Documents are known by doc_id and a hash of the text. Rows that repeat both are copies of
 each other; a NULL doc_id is a document as any other.
@@ -37,6 +38,7 @@ from stratiform.llm.text import Hasher, binary_column, gather, mix, sliding_min,
 NO_ID = -(2**63)
 BUCKETS_PER_TASK = 4
 FLUSH_BYTES = 12 << 20
+PART_BYTES = 2 << 20
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _HASH = Hasher(101)
 
@@ -173,7 +175,7 @@ def _pack(unit: Unit, buckets: int):
             at = order[heads[a] : heads[b] if b < len(heads) else len(order)]
             body = [text[i] for i in some]
             parts = [
-                np.array([len(some), len(at)], "<i8"), np.array([len(s) for s in body], "<u4"), count[some].astype("<u4"), times[a:b].astype("<u4"),
+                np.array([len(some), len(at)], "<i8"), anchor[some], np.array([len(s) for s in body], "<u4"), count[some].astype("<u4"), times[a:b].astype("<u4"),
                 doc[at], digest[at], local[at].astype("<i8"),
             ]
             names.append(int(bucket[some[0]]))
@@ -209,24 +211,46 @@ def _pack(unit: Unit, buckets: int):
 
 
 class Strings:
-    """The packed strings of one bucket and where each of them occurs."""
+    """Packed strings, the minimiser of each, and where each of them occurs."""
 
-    def __init__(self, blobs: list[bytes]):
+    def __init__(self, anchor: np.ndarray, sizes: np.ndarray, count: np.ndarray, times: np.ndarray, doc: np.ndarray, digest: np.ndarray, local: np.ndarray, text: np.ndarray):
+        self.anchor, self.doc, self.digest, self.local, self.text = anchor, doc, digest, local, text
+        self.sizes, self.count, self.times = sizes.astype(np.int64), count.astype(np.int64), times.astype(np.int64)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.place = np.cumsum(self.times) - self.times  # of a string's first occurrence
+
+    @classmethod
+    def unpacked(cls, blobs: list[bytes]) -> Strings:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor()
-        columns: list[list[np.ndarray]] = [[] for _ in range(7)]
+        columns: list[list[np.ndarray]] = [[] for _ in range(8)]
         for blob in blobs:
             raw = unpack.decompress(blob)
             n, m = np.frombuffer(raw, "<i8", 2)
             at = 16
-            for k, (kind, size) in enumerate([("<u4", n), ("<u4", n), ("<u4", n), ("<i8", m), ("<i8", m), ("<i8", m), ("u1", -1)]):
+            for k, (kind, size) in enumerate([("<u8", n), ("<u4", n), ("<u4", n), ("<u4", n), ("<i8", m), ("<i8", m), ("<i8", m), ("u1", -1)]):
                 columns[k].append(np.frombuffer(raw, kind, size, at))
                 at += columns[k][-1].nbytes
-        sizes, count, times, self.doc, self.digest, self.local, self.text = (np.concatenate(c) for c in columns)
-        self.sizes, self.count, self.times = sizes.astype(np.int64), count.astype(np.int64), times.astype(np.int64)
-        self.begin = np.cumsum(self.sizes) - self.sizes
-        self.place = np.cumsum(self.times) - self.times  # of a string's first occurrence
+        return cls(*(np.concatenate(c) for c in columns))
+
+    def parts(self, limit: int = PART_BYTES) -> Iterator[Strings]:
+        """These strings in parts of at most ``limit`` bytes of text. Strings of one minimiser
+        stay together, as only they can share a window; more bytes than that make one part."""
+        if len(self.text) <= limit:
+            yield self
+            return
+        order = np.argsort(self.anchor, kind="stable")
+        ends = np.flatnonzero(np.append(self.anchor[order][1:] != self.anchor[order][:-1], True)) + 1
+        total = np.concatenate([[0], np.cumsum(self.sizes[order])[ends - 1]])
+        ends = np.concatenate([[0], ends])
+        at = 0
+        while at < len(ends) - 1:
+            to = max(at + 1, int(np.searchsorted(total, total[at] + limit, "right")) - 1)
+            some = order[ends[at] : ends[to]]
+            places = [gather(column, self.place[some], self.times[some])[0] for column in (self.doc, self.digest, self.local)]
+            yield Strings(self.anchor[some], self.sizes[some], self.count[some], self.times[some], *places, gather(self.text, self.begin[some], self.sizes[some])[0])
+            at = to
 
     def ranges(self, string: np.ndarray, low: np.ndarray, high: np.ndarray, occurrences: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         """One row for each given range of a string and each chosen occurrence of the string;
@@ -246,12 +270,12 @@ def _buckets(judge: Callable[[Strings], Iterator[pa.RecordBatch]]):
         for batch in batches:
             for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob")):
                 if bucket != current:
-                    if blobs:
-                        yield from judge(Strings(blobs))
+                    for part in Strings.unpacked(blobs).parts() if blobs else ():
+                        yield from judge(part)
                     current, blobs = bucket, []
                 blobs.append(blob.as_py())
-        if blobs:
-            yield from judge(Strings(blobs))
+        for part in Strings.unpacked(blobs).parts() if blobs else ():
+            yield from judge(part)
 
     return scan
 

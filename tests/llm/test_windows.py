@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry_points
@@ -94,3 +95,32 @@ def test_registered_queries(spark):
     got = entry_points.queries()["op7_suffix_array"](spark, SF).collect()
     want = [(d, n, g, s, hashlib.sha256(k).hexdigest()) for d, n, g, s, k in brute_bytes(rows, 100)]
     assert Counter(map(tuple, got)) == Counter(want)
+
+
+@pytest.mark.parametrize(("unit", "judge"), [(superkmers.Unit(True, 5, 2, 1 << 20), superkmers.judge_words), (superkmers.Unit(False, 12, 4, 1 << 20), suffixes.judge_bytes)])
+def test_parts_of_a_bucket(unit, judge):
+    """Judging a bucket in parts of few bytes gives the ranges of the bucket as a whole."""
+    rows = [(i, (t or "").encode()) for i, (_, t) in enumerate(invented(5, 40))]
+    flat = np.frombuffer(b"".join(t for _, t in rows), np.uint8)
+    offsets = np.cumsum([0, *(len(t) for _, t in rows)])
+    cut = superkmers.Slice(unit, flat, offsets)
+    text, local = cut.strings(np.arange(len(cut.count)))
+    body = np.frombuffer(b"".join(text), np.uint8)
+    ones = np.ones(len(text), np.int64)
+
+    def whole():
+        return superkmers.Strings(cut.anchor, np.array([len(s) for s in text]), cut.count, ones, cut.doc.copy(), cut.doc * 7, local.copy(), body)
+
+    def ranges(parts):
+        found = {}
+        for part in parts:
+            for batch in judge(unit)(part):
+                for doc, _, low, high in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                    found.setdefault(doc, set()).update(range(low, high))
+        return found
+
+    parts = list(whole().parts(300))
+    assert len(parts) > 20 and sum(len(p.text) for p in parts) == len(body)
+    assert all(len(p.text) <= 300 or len(set(p.anchor.tolist())) == 1 for p in parts)
+    want = ranges([whole()])
+    assert want and ranges(whole().parts(300)) == want
