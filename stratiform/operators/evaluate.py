@@ -18,6 +18,7 @@ from stratiform.functions.rank import ranked as ranked_rows
 from stratiform.functions.skew import salted_join
 from stratiform.operators.centers import Centers, assign_nearest, distances, kmeans_many, train_runs
 from stratiform.operators.columns import attach_labels
+from stratiform.operators.silhouette_cells import MAX_CELLS, mean_silhouettes
 from stratiform.session import cut_lineage, small_table
 
 BLOCK_ROWS = 4096
@@ -245,15 +246,47 @@ def compare_methods(
     )
 
 
+def compare_within(
+    df: DataFrame,
+    labelings: Mapping[str, DataFrame],
+    key: str,
+    cols: Sequence[str],
+    tol: float,
+    exclude_noise: bool = False,
+    max_cells: int = MAX_CELLS,
+) -> DataFrame:
+    """``(method, n_clusters, silhouette, lower, upper)``: as ``compare_methods``, but each mean
+    is only bracketed, by bounds at most ``tol`` apart; ``silhouette`` is their middle.
+
+    Scans against summaries of cells shared by all labelings, so the work is linear in the rows
+    for a given number of cells; where ``max_cells`` do not suffice, the exact form is taken and
+    both bounds are its value. A row without a label in one labeling counts in the others.
+    """
+    names = list(labelings)
+    members = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols])
+    label_cols = [f"__l{i}" for i in range(len(names))]
+    for m, c in zip(names, label_cols):
+        members = members.join(labelings[m].select(key, F.col("label").cast("int").alias(c)), key, "left")
+    if exclude_noise:
+        members = members.withColumns({c: F.when(F.col(c) != -1, F.col(c)) for c in label_cols})
+    scored = mean_silhouettes(cut_lineage(members), cols, label_cols, tol, max_cells)
+    if scored is None:
+        exact = compare_methods(df, labelings, key, cols, exclude_noise)
+        return exact.select("*", F.col("silhouette").alias("lower"), F.col("silhouette").alias("upper"))
+    rows = [(names[m], n, None if low is None else (low + high) / 2, low, high) for m, n, low, high in scored]
+    return small_table(df.sparkSession, rows, "method string, n_clusters bigint, silhouette double, lower double, upper double")
+
+
 def silhouette_by_k(
-    df: DataFrame, key: str, cols: Sequence[str], k_min: int, k_max: int, n_init: int = 30, seed: int = 0, **how
+    df: DataFrame, key: str, cols: Sequence[str], k_min: int, k_max: int, n_init: int = 30, seed: int = 0, within: float | None = None, **how
 ) -> DataFrame:
-    """``(k, silhouette)`` for every k in the range, both ends included; ``how`` as in
-    ``kmeans_many``."""
+    """``(k, silhouette)`` for every k in the range, both ends included; exact, or with ``within``
+    the middle of bounds that are at most so far apart. ``how`` as in ``kmeans_many``."""
     fits = kmeans_many(df, key, cols, range(k_min, k_max + 1), n_init, seed, **how)
     base = df.select(key, *cols)
     labelings = {str(k): assign_nearest(base, c).select(key, "label") for k, (c, _) in fits.items()}
-    return compare_methods(df, labelings, key, cols).select(F.col("method").cast("int").alias("k"), "silhouette")
+    scored = compare_methods(df, labelings, key, cols) if within is None else compare_within(df, labelings, key, cols, within)
+    return scored.select(F.col("method").cast("int").alias("k"), "silhouette")
 
 
 def confusion_matrix(pred: DataFrame, actual: str = "label", predicted: str = "prediction") -> DataFrame:

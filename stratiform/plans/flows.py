@@ -15,7 +15,7 @@ from stratiform.operators.centers import assign_nearest, kmeans, pca_kmeans, spr
 from stratiform.operators import describe as d
 from stratiform.operators.density import estimate_bandwidth, mean_shift
 from stratiform.operators.density_blocks import dbscan_blocks
-from stratiform.operators.evaluate import compare_methods
+from stratiform.operators.evaluate import compare_methods, compare_within
 from stratiform.operators.hierarchy import hierarchy
 from stratiform.operators.mixture import gmm, gmm_score
 from stratiform.operators.scale import Scaler, scaler_apply, scaler_fit
@@ -246,24 +246,23 @@ def extend(s: Segments, model) -> DataFrame:
     return label_outliers(s.frame.features, s.labels, outside, model, KEY, FEATURES)
 
 
-def scoreboard(spark: SparkSession, sf_dir: str, k: int = 5, eps: float = 0.9, min_samples: int = 50) -> DataFrame:
-    """Score of k-means, component k-means, mixture, density, mean shift and ward labels."""
+def scoreboard(spark: SparkSession, sf_dir: str, k: int = 5, eps: float = 0.9, min_samples: int = 50, within: float | None = None) -> DataFrame:
+    """Score of k-means, component k-means, mixture, density, mean shift and ward labels: exact,
+    or with ``within`` the middle of bounds that are at most so far apart."""
     m = model_frame(spark, sf_dir)
     std = m.std
     centers, _ = kmeans(std, KEY, FEATURES, k)
     mix, _ = gmm(std, KEY, FEATURES, k)
     width = estimate_bandwidth(std, KEY, FEATURES, 0.1, 3000).first()["bandwidth"]
     ward = hierarchy(std, KEY, FEATURES, "ward", [k], micro=None)
-    return compare_methods(
-        std,
-        {
-            "kmeans": assign_nearest(std, centers).select(KEY, "label"),
-            "pca_kmeans": pca_kmeans(std, KEY, FEATURES, 4, k)[0],
-            "dbscan": dbscan_blocks(std, KEY, FEATURES, eps, min_samples),
-            "mean_shift": mean_shift(std, KEY, FEATURES, width)[0],
-            "gaussian_mixture": gmm_score(std, mix, KEY).select(KEY, "label"),
-            "hierarchy_ward": ward.withColumnRenamed(f"label_k{k}", "label"),
-        },
-        KEY,
-        FEATURES,
-    )
+    labelings = {
+        "kmeans": assign_nearest(std, centers).select(KEY, "label"),
+        "pca_kmeans": pca_kmeans(std, KEY, FEATURES, 4, k)[0],
+        "dbscan": dbscan_blocks(std, KEY, FEATURES, eps, min_samples),
+        "mean_shift": mean_shift(std, KEY, FEATURES, width)[0],
+        "gaussian_mixture": gmm_score(std, mix, KEY).select(KEY, "label"),
+        "hierarchy_ward": ward.withColumnRenamed(f"label_k{k}", "label"),
+    }
+    if within is None:
+        return compare_methods(std, labelings, KEY, FEATURES)
+    return compare_within(std, labelings, KEY, FEATURES, within).drop("lower", "upper")

@@ -461,16 +461,41 @@ def _(spark, sf):
     return rounded(ev.silhouette_by_k(flows.model_frame(spark, sf).std, KEY, X, 4, 5))
 
 
+_THREE_LABELINGS = _FIXED + ",\n" + ms.lloyd("std", X, K, 1) + ",\n" + ms.silhouette("a0", X, "0") + ",\n" + ms.silhouette("a1", X, "1") + ",\n" + ms.silhouette("fixed", X, "f")
+
+
+def _three_labelings(std):
+    start = first_centers(std, X, K)
+    moved = ce.assign_nearest(std, ce.lloyd_rounds(std, start, 1)).select(KEY, "label")
+    return {"first": _near_labels(std), "moved": moved, "by_key": fixed_labels(std)}
+
+
+def _scores(columns: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS method, {columns} FROM {t}" for n, t in (("first", "sil0"), ("moved", "sil1"), ("by_key", "silf")))
+
+
 @query(
     "V5_compare_methods",
-    ctes("std", _FIXED + ",\n" + ms.lloyd("std", X, K, 1) + ",\n" + ms.silhouette("a0", X, "0") + ",\n" + ms.silhouette("a1", X, "1") + ",\n" + ms.silhouette("fixed", X, "f"))
-    + " UNION ALL ".join(f"SELECT '{n}' AS method, count(DISTINCT CASE WHEN label <> -1 THEN label END) AS n_clusters, {r('avg(silhouette)', 'silhouette')} FROM {t}" for n, t in (("first", "sil0"), ("moved", "sil1"), ("by_key", "silf"))),
+    ctes("std", _THREE_LABELINGS) + _scores(f"count(DISTINCT CASE WHEN label <> -1 THEN label END) AS n_clusters, {r('avg(silhouette)', 'silhouette')}"),
 )
 def _(spark, sf):
     std = flows.model_frame(spark, sf).std
-    start = first_centers(std, X, K)
-    moved = ce.assign_nearest(std, ce.lloyd_rounds(std, start, 1)).select(KEY, "label")
-    return rounded(ev.compare_methods(std, {"first": _near_labels(std), "moved": moved, "by_key": fixed_labels(std)}, KEY, X))
+    return rounded(ev.compare_methods(std, _three_labelings(std), KEY, X))
+
+
+@query(
+    "V5_compare_within",
+    ctes("std", _THREE_LABELINGS)
+    + _scores(f"count(DISTINCT CASE WHEN label <> -1 THEN label END) AS n_clusters, {r('avg(silhouette)', 'silhouette')}, true AS bracketed, true AS narrow"),
+)
+def _(spark, sf):
+    """The exact means beside bounds found without them, at most 0.05 apart."""
+    std = flows.model_frame(spark, sf).std
+    labelings = _three_labelings(std)
+    bounds = ev.compare_within(std, labelings, KEY, X, 0.05).select("method", "n_clusters", "lower", "upper")
+    both = ev.compare_methods(std, labelings, KEY, X).drop("n_clusters").join(bounds, "method")
+    held = F.col("silhouette").between(F.col("lower") - 1e-9, F.col("upper") + 1e-9)
+    return rounded(both.select("method", "n_clusters", "silhouette", held.alias("bracketed"), (F.col("upper") - F.col("lower") <= 0.05).alias("narrow")))
 
 
 _PRED = ms.lloyd("std", X, K, 2) + f",\npred AS (SELECT a2.{KEY}, a0.label, a2.label AS prediction FROM a0 JOIN a2 USING ({KEY}))"

@@ -105,6 +105,30 @@ def test_exact_silhouette(spark, blobs, block_rows):
     assert board["y"].n_clusters == 1
 
 
+@pytest.mark.parametrize("tol", [0.3, 0.05, 1e-6])
+def test_silhouettes_to_a_tolerance(spark, blobs, tol):
+    points = np.concatenate([blobs, blobs[:20]])  # copies share a summary
+    df = table(spark, points)
+    coded = {"thirds": np.arange(len(points)) % 3, "near": np.argmin(((points[:, None, :] - points[None, [0, 50, 100], :]) ** 2).sum(axis=2), axis=1), "noise": np.arange(len(points)) % 4 - 1}
+    coded["thirds"][7] = 9  # a cluster of one row
+    labelings = {m: spark.createDataFrame([(i, int(v)) for i, v in enumerate(lab)], "k bigint, label int") for m, lab in coded.items()}
+    labelings["one"] = df.select("k", F.lit(0).alias("label"))
+    got = {r.method: r for r in ev.compare_within(df, labelings, "k", COLS, tol).collect()}
+    for m, lab in coded.items():
+        want = brute_silhouette(points, lab).mean()
+        assert got[m].lower - 1e-9 <= want <= got[m].upper + 1e-9 and got[m].upper - got[m].lower <= tol
+        assert got[m].n_clusters == len(set(lab.tolist()) - {-1})
+    assert got["one"].silhouette is None and got["one"].n_clusters == 1
+    few = ev.compare_within(df, {"near": labelings["near"]}, "k", COLS, tol, max_cells=2).first()
+    assert few.lower == few.upper == pytest.approx(brute_silhouette(points, coded["near"]).mean())  # the exact form
+    kept = {r.method: r for r in ev.compare_within(df, {m: labelings[m] for m in ("noise", "thirds")}, "k", COLS, tol, exclude_noise=True).collect()}
+    inside = coded["noise"] >= 0
+    assert kept["noise"].lower - 1e-9 <= brute_silhouette(points[inside], coded["noise"][inside]).mean() <= kept["noise"].upper + 1e-9
+    assert kept["thirds"].n_clusters == 4
+    none = ev.compare_within(df.limit(0), {"near": labelings["near"]}, "k", COLS, tol).first()
+    assert none.silhouette is None and none.n_clusters == 0
+
+
 def test_single_cluster_has_no_score(spark, blobs):
     df = table(spark, blobs)
     assert ev.silhouette_score(df, df.select("k", F.lit(0).alias("label")), "k", COLS).first()[0] is None
