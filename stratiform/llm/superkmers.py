@@ -232,7 +232,17 @@ class Strings:
             for k, (kind, size) in enumerate([("<u8", n), ("<u4", n), ("<u4", n), ("<u4", n), ("<i8", m), ("<i8", m), ("<i8", m), ("u1", -1)]):
                 columns[k].append(np.frombuffer(raw, kind, size, at))
                 at += columns[k][-1].nbytes
-        return cls(*(np.concatenate(c) for c in columns))
+        anchor, sizes, count, times, *places, text = (np.concatenate(c) for c in columns)
+        # Equal strings of several tasks become one, with all its places.
+        raw, ends = text.tobytes(), np.cumsum(sizes, dtype=np.int64)
+        known: dict[bytes, int] = {}
+        name = np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip((ends - sizes).tolist(), ends.tolist())], np.int64)
+        lead = np.zeros(len(known), np.int64)
+        lead[name[::-1]] = np.arange(len(name))[::-1]
+        owner = np.repeat(name, times)
+        order = np.argsort(owner, kind="stable")
+        body = np.frombuffer(b"".join(known), np.uint8)
+        return cls(anchor[lead], sizes[lead], count[lead], np.bincount(owner, minlength=len(known)), *(p[order] for p in places), body)
 
     def parts(self, limit: int = PART_BYTES) -> Iterator[Strings]:
         """These strings in parts of at most ``limit`` bytes of text. Strings of one minimiser
