@@ -8,8 +8,8 @@ the same context. Tokens with an offence are labelled 1 in toxic texts, all
 others 0, and a two-state chain (one weight for each feature, one for each transition) is
 fitted to windows of labelled tokens by gradient ascent on the conditional likelihood.
 
-Scoring. Every whole text is cut into words and chains of ``CHAIN`` words; forward and
-backward passes give each word's marginal probability of being toxic. Runs of words at
+Scoring. The words of every whole text are one chain; forward and backward passes give each
+word's marginal probability of being toxic. Runs of words at
 or above one half are the offending spans. The document's score is the chance that at least
 one word is toxic, from the marginals that reach ``FLOOR``; below it, the largest marginal.
 
@@ -140,11 +140,13 @@ def labelled_windows(sampled: DataFrame, found: set[str]) -> list[tuple[list[str
     return [(r.words, r.labels) for r in sampled.mapInArrow(cut, "words array<string>, labels array<int>").collect()]
 
 
-def odds(gain: np.ndarray, size: np.ndarray, moves: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray]:
+def odds(gain: np.ndarray, size: np.ndarray, moves: np.ndarray, start: float | np.ndarray, end: float | np.ndarray = 1.0) -> tuple[np.ndarray, np.ndarray]:
     """Forward and backward odds of state 1 against state 0, along axis 0, many chains of
     ``size`` words at a time. ``gain`` are the emission odds, ``moves[i, j]`` the weight of
-    going from i to j."""
-    forward, backward = np.empty_like(gain), np.ones_like(gain)
+    going from i to j, ``start`` the odds before the first word's emission, ``end`` those
+    that come back to the last word."""
+    forward, backward = np.empty_like(gain), np.empty_like(gain)
+    backward[-1] = end
     r = start * gain[0]
     forward[0] = r
     for t in range(1, len(gain)):
@@ -152,7 +154,7 @@ def odds(gain: np.ndarray, size: np.ndarray, moves: np.ndarray, start: float) ->
         forward[t] = r
     for t in range(len(gain) - 2, -1, -1):
         x = gain[t + 1] * backward[t + 1]
-        backward[t] = np.where(t + 1 < size, (moves[1, 0] + moves[1, 1] * x) / (moves[0, 0] + moves[0, 1] * x), 1.0)
+        backward[t] = np.where(t + 1 < size, (moves[1, 0] + moves[1, 1] * x) / (moves[0, 0] + moves[0, 1] * x), end)
     return forward, backward
 
 
@@ -171,8 +173,53 @@ class Field:
             self.cache = _Emission(self)
         return np.array(list(map(self.cache.__getitem__, words)), np.float64)
 
-    def marginals(self, gains: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Of the words of many texts, one after another; chains of ``CHAIN`` words."""
+    def entries(self, grid: np.ndarray, sizes: np.ndarray, nth: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each stretch receives from the one before it in its text (forward odds of that
+        one's last word) and from the one after it (odds its first word sends back). Passing
+        a stretch turns odds ``r`` into ``(a r + b) / (c r + d)``; these maps are formed for all
+        stretches at once and then applied along each text. ``parts`` is by stretch."""
+        (m00, m01), (m10, m11) = self.moves
+        before, after = np.ones(len(nth)), np.ones(len(nth))
+        many = np.flatnonzero(parts > 1)
+        if not len(many):
+            return before, after
+        g, n = grid[:, many], nth[many]
+        head, last = n == 0, n == parts[many] - 1
+        size = sizes[many]
+
+        def step(state, g, high, low, fixed, value):
+            num = g * (m11 * state[0] + high * state[1])
+            den = low * state[0] + m00 * state[1]
+            num[:, fixed], den[:, fixed] = value[fixed], 1.0
+            return np.stack([num, den]) / (num + den).max(axis=0)
+
+        none = np.zeros(len(many), bool)
+        start = np.zeros((2, 2, len(many)))
+        start[0, 0] = start[1, 1] = 1.0
+        ahead, back = start, start
+        for t in range(CHAIN):
+            ahead = step(ahead, g[t], m01, m10, head if t == 0 else none, self.start * g[t])
+        for t in range(CHAIN - 1, -1, -1):
+            back = step(back, g[t], m10, m01, last & (t >= size - 1), g[t])
+
+        order = np.argsort(n, kind="stable")
+        edges = np.searchsorted(n[order], np.arange(n.max() + 2))
+        e, x = np.ones(len(many)), np.ones(len(many))
+        for k in range(1, n.max() + 1):
+            at = order[edges[k] : edges[k + 1]]
+            p = ahead[:, :, at - 1]
+            e[at] = (p[0, 0] * e[at - 1] + p[0, 1]) / (p[1, 0] * e[at - 1] + p[1, 1])
+        for k in range(n.max(), 0, -1):
+            at = order[edges[k] : edges[k + 1]]
+            p = back[:, :, at]
+            x[at - 1] = (p[0, 0] * x[at] + p[0, 1]) / (p[1, 0] * x[at] + p[1, 1])
+        before[many], after[many] = e, x
+        return before, after
+
+    def marginals(self, gains: np.ndarray, counts: np.ndarray, whole: bool = False) -> np.ndarray:
+        """Of the words of many texts, one after another, in stretches of ``CHAIN`` words: each a
+        chain of its own, or with ``whole`` handing on its odds, so that each text is one chain."""
+        (m00, m01), (m10, m11) = self.moves
         parts = -(-counts // CHAIN)
         text = np.repeat(np.arange(len(counts)), parts)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -182,7 +229,12 @@ class Field:
         spot = np.arange(len(gains)) - begin[chain_of]
         grid = np.ones((CHAIN, len(size)))
         grid[spot, chain_of] = gains
-        forward, backward = odds(grid, size, self.moves, self.start)
+        opens, closes = self.start, 1.0
+        if whole:
+            before, after = self.entries(grid, size, nth, parts[text])
+            opens = np.where(nth == 0, self.start, (m01 + before * m11) / (m00 + before * m10))
+            closes = np.where(nth == parts[text] - 1, 1.0, (m10 + m11 * after) / (m00 + m01 * after))
+        forward, backward = odds(grid, size, self.moves, opens, closes)
         x = (forward * backward)[spot, chain_of]
         return x / (1 + x)
 
@@ -275,7 +327,7 @@ def score_documents(docs: DataFrame, field: Field, id_col: str = "doc_id", text_
                 texts = batch.column("text").slice(row, n).to_pylist()
                 words = [_WORD.findall(t) for t in texts]
                 counts = np.array([len(w) for w in words], np.int64)
-                p = model.marginals(model.gains(list(chain.from_iterable(words))), counts)
+                p = model.marginals(model.gains(list(chain.from_iterable(words))), counts, whole=True)
                 ends = np.cumsum(counts)
                 begin = ends - counts
                 none = np.log1p(-np.minimum(np.where(p >= FLOOR, p, 0.0), 1 - 1e-12))

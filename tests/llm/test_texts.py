@@ -233,3 +233,38 @@ def test_queries_equal_their_sql(spark, name):
     want = con.execute(entry_points.oracle_sql()[name])
     columns = [d[0] for d in want.description]
     assert Counter(map(tuple, entry_points.queries()[name](spark, SF).select(*columns).collect())) == Counter(want.fetchall())
+
+
+def test_a_long_text_is_one_chain():
+    """Marginals of texts of any length equal those of one pass over the whole text."""
+    r = np.random.default_rng(3)
+    counts = np.array([0, 1, 255, 256, 257, 0, 512, 3000, 5, 700])
+    gains = np.exp(r.normal(0, 2, counts.sum()))
+    moves = np.array([[1.0, 0.02], [0.3, 40.0]])  # what one word says travels far
+    field = toxicity.Field({}, 0.0, moves, 0.05)
+    got = field.marginals(gains, counts, whole=True)
+    at = 0
+    for n in counts[counts > 0]:
+        forward, backward = toxicity.odds(gains[at : at + n, None], np.array([n]), moves, 0.05)
+        x = (forward * backward)[:, 0]
+        assert np.allclose(got[at : at + n], x / (1 + x), rtol=1e-9)
+        at += n
+    assert len(got) == at
+
+
+def test_whole_marginals_equal_enumeration(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHAIN", 3)
+    moves, start = np.array([[2.0, 0.3], [0.5, 1.5]]), 0.4
+    gains = np.array([0.2, 3.0, 1.0, 0.5, 2.0, 0.1, 5.0, 0.7, 4.0])
+    got = toxicity.Field({}, 0.0, moves, start).marginals(gains, np.array([8, 0, 1]), whole=True)
+    want = []
+    for chain in (gains[:8], gains[8:]):
+        weight = np.zeros((len(chain), 2))
+        for states in itertools.product((0, 1), repeat=len(chain)):
+            w = start if states[0] else 1.0
+            for t, s in enumerate(states):
+                w *= (chain[t] if s else 1.0) * (moves[states[t - 1], s] if t else 1.0)
+            for t, s in enumerate(states):
+                weight[t, s] += w
+        want += list(weight[:, 1] / weight.sum(axis=1))
+    assert np.allclose(got, want)
