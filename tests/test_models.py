@@ -387,3 +387,9 @@ def test_report_with_a_class_never_predicted(spark):
     assert rep["1"].precision == pytest.approx(1 / 3) and rep["accuracy"].f1 == 0.5
     assert rep["macro avg"].recall == pytest.approx((0.5 + 1 + 0) / 3)
     assert [tuple(r) for r in ev.confusion_matrix(pred).orderBy("actual").collect()] == [(0, 1, 1, 0), (1, 0, 1, 0), (2, 0, 1, 0)]
+
+
+def test_silhouette_by_k_within(spark, blobs):
+    df = table(spark, blobs)
+    exact, near = ({r.k: r.silhouette for r in ev.silhouette_by_k(df, "k", COLS, 2, 3, n_init=2, within=w).collect()} for w in (None, 0.02))
+    assert set(near) == set(exact) == {2, 3} and all(abs(near[k] - exact[k]) <= 0.01 + 1e-9 for k in exact)
