@@ -15,8 +15,10 @@ two histograms of the sets over ``HIST`` hash buckets, which is never larger.
    whose pivot is at most twice the threshold farther away. A cell that is small is joined
    pair by pair, and so is a region that is small from the start. All this uses sizes and
    histogram distances, so it may only let too much pass.
-4. What passes is compared exactly, shingle by shingle, on the texts. First each member is
-   compared with one near member only; groups that this already connects need no more. Then every near pair of different groups is compared.
+4. What passes is compared exactly, shingle by shingle, on the texts. First each member meets
+   one hub only: of the members that share most regions with others, the one it shares most
+   regions with. Of an original and its edited copies the original is that hub, so a group
+   costs one pair for each member. Then near pairs of classes that are still apart are compared.
 
 Scale: what is frequent comes from counts of all texts, kept for shingles of at least one
 text in ``COMMON``, so the list that travels is bounded by that share and not by the corpus.
@@ -174,30 +176,71 @@ def _runs(batches, columns: list[str]):
         yield pa.Table.from_batches(rest).select(columns).combine_chunks()
 
 
-def _shared(percent: int):
-    """What the regions with at least two classes hold, as pairs ``(a, b)``. Small regions: all
-    pairs of fitting sizes. Crowded ones: their smallest class with each other member; so
-    regions of the same texts, which have the same smallest class, become one."""
+def _held():
+    """The rows, each once, of regions with at least two classes; one row is kept back between batches."""
 
     def scan(batches):
-        for table in _runs(batches, ["region", "class", "n"]):
-            region, name, n = (table.column(c).to_numpy() for c in ("region", "class", "n"))
-            if not len(region):
+        kept, joined = None, False
+        for batch in batches:
+            if not batch.num_rows:
                 continue
+            table = pa.Table.from_batches([batch] if kept is None else [kept, batch]).combine_chunks()
+            region, name = (table.column(c).to_numpy() for c in ("region", "class"))
             fresh = np.ones(len(region), bool)
             fresh[1:] = (region[1:] != region[:-1]) | (name[1:] != name[:-1])
-            region, name, n = region[fresh], name[fresh], n[fresh].astype(np.int64)
+            table, region = table.filter(pa.array(fresh)), region[fresh]
+            same = region[1:] == region[:-1]
+            together = np.concatenate([[joined], same]) | np.concatenate([same, [False]])
+            yield from table.slice(0, len(region) - 1).filter(pa.array(together[:-1])).to_batches()
+            joined, kept = bool(together[-1]), table.slice(len(region) - 1).combine_chunks().to_batches()[0]
+        if joined:
+            yield kept
+
+    return scan
+
+
+def _hubs(percent: int):
+    """``(a, b)``: the first row of each region with each other one of a fitting size."""
+
+    def scan(batches):
+        at, hub, most = None, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            region, name, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("region", "class", "n"))
+            head = np.concatenate([[region[0] != at], region[1:] != region[:-1]])
+            lead = np.cumsum(head)
+            first, size = np.concatenate([[hub], name[head]])[lead], np.concatenate([[most], n[head]]).astype(np.int64)[lead]
+            fits = (first != name) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+            yield pa.RecordBatch.from_arrays([pa.array(first[fits]), pa.array(name[fits])], names=["a", "b"])
+            at, hub, most = region[-1], first[-1], size[-1]
+
+    return scan
+
+
+def _shared(percent: int):
+    """What the regions with at least two labels hold, as pairs ``(a, b)``. Small regions: all
+    pairs of fitting sizes and different labels. Crowded ones: their smallest class with each
+    other member; so regions of the same texts, which have the same smallest class, become one."""
+
+    def scan(batches):
+        for table in _runs(batches, ["region", "class", "n", "label"]):
+            region, name, n, label = (table.column(c).to_numpy() for c in ("region", "class", "n", "label"))
+            if not len(region):
+                continue
+            n = n.astype(np.int64)
             head = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
             size = np.diff(np.append(head, len(region)))
+            mixed = np.repeat(np.minimum.reduceat(label, head) != np.maximum.reduceat(label, head), size)
             small = np.repeat(size <= SMALL, size)
             for step in range(1, min(SMALL, len(region))):
-                a = np.flatnonzero(small[:-step] & (region[step:] == region[:-step]))
+                a = np.flatnonzero(mixed[:-step] & small[:-step] & (region[step:] == region[:-step]) & (label[step:] != label[:-step]))
                 b = a + step
                 fits = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
                 if fits.any():
                     yield _pairs(name[a[fits]], name[b[fits]], False)
             lead = np.repeat(name[head], size)
-            member = ~small & (lead != name)
+            member = mixed & ~small & (lead != name)
             if member.any():
                 yield _pairs(lead[member], name[member], True)
 
@@ -349,16 +392,22 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     known = cut_lineage(rows.mapInArrow(_features(words, percent, common), "doc_id long, class long, n long, window array<long>, hist binary"))
     classes = cut_lineage(known.filter("class is not null").groupBy("class").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("lead"), F.first("n").alias("n"), F.first("hist").alias("hist")))
     placed = known.select("class", F.col("n").cast("int").alias("n"), F.explode("window").alias("region"))
-    shared = cut_lineage(placed.repartition(tasks, "region").sortWithinPartitions("region", "class").mapInArrow(_shared(percent), "a long, b long, crowded boolean").distinct())
+    held = placed.repartition(tasks, "region").sortWithinPartitions("region", "class").mapInArrow(_held(), "class long, n int, region long")
+    places = cut_lineage(held.groupBy("class").agg(F.first("n").alias("n"), F.collect_list("region").alias("regions")))
+
+    def by_region(df, order, *cols):
+        dealt = df.select("class", "n", *cols, F.explode("regions").alias("region")).repartition(tasks, "region")
+        return dealt.sortWithinPartitions("region", *order, "class")
 
     def with_hist(pairs, side):
         return pairs.join(classes.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("hist").alias(f"hist_{side}")), side)
 
-    near = cut_lineage(with_hist(with_hist(shared.select("a", "b").distinct(), "a"), "b").mapInArrow(_near(percent), "a long, b long"))
-    crowded = shared.filter("crowded").select(F.col("a").alias("region"), F.explode(F.array("a", "b")).alias("class")).distinct()
+    def near(pairs):
+        return with_hist(with_hist(pairs.select("a", "b"), "a"), "b").mapInArrow(_near(percent), "a long, b long")
 
-    def of_crowded(labels):
+    def of_crowded(shared, labels):
         """Near pairs of the crowded regions that hold several groups."""
+        crowded = shared.filter("crowded").select(F.col("a").alias("region"), F.explode(F.array("a", "b")).alias("class")).distinct()
         rows = crowded.join(labels, "class", "left").select("region", "class", F.coalesce("component", "class").alias("label"))
         mixed = rows.groupBy("region").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed").select("region")
         full = rows.join(mixed, "region").join(classes.select("class", "n", "hist"), "class")
@@ -382,13 +431,13 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
         nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         return connected_components(nodes, links).withColumnRenamed("node", "class")
 
-    # Each class first meets the smallest near one only, so regions agree on whom to compare.
-    smallest = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = verified(smallest)
+    # Who holds most regions leads them; a class meets the one that leads most of its regions.
+    led = by_region(places.withColumn("held", F.size("regions")), [F.desc("held")], "held").mapInArrow(_hubs(percent), "a long, b long")
+    links = verified(near(cut_lineage(led.groupBy("b").agg(F.mode("a", True).alias("a")))))
     labels = joined(links)
-    of = lambda side: labels.select(F.col("class").alias(side), F.col("component").alias(f"label_{side}"))
-    apart = near.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-    more = verified(apart.union(of_crowded(labels)).distinct())
+    labelled = places.join(labels, "class", "left").withColumn("label", F.coalesce("component", "class"))
+    shared = cut_lineage(by_region(labelled, [], "label").mapInArrow(_shared(percent), "a long, b long, crowded boolean").distinct())
+    more = verified(near(shared.filter("not crowded")).union(of_crowded(shared, labels)).distinct())
     if not more.isEmpty():
         labels = joined(links.union(more))
     named = known.select("doc_id", "class", "n").join(labels, "class", "left").withColumn("group", F.coalesce("component", "class"))

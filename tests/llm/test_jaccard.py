@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_points
@@ -100,6 +101,56 @@ def test_cells_lose_no_near_pair():
     assert near.sum() > 200 and all((x, y) in together for x, y in zip(a[near], b[near]))
 
 
+@pytest.mark.parametrize("cut", [1, 2, 3, 50])
+def test_regions_over_batches(cut):
+    """Rows of shared regions, and their hubs, do not depend on where batches end."""
+    r = random.Random(cut)
+    rows = sorted((r.randrange(12), r.randrange(6), r.randrange(8, 12)) for _ in range(50))
+    sizes = {c: n for _, c, n in rows}
+    rows = [(g, c, sizes[c]) for g, c, _ in rows]
+
+    def batches(rows):
+        for i in range(0, len(rows), cut):
+            g, c, n = zip(*rows[i : i + cut])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(n, pa.int32()), pa.array(g, pa.int64())], names=["class", "n", "region"])
+            yield pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int32()), pa.array([], pa.int64())], names=["class", "n", "region"])
+
+    members = {}
+    for g, c, n in rows:
+        members.setdefault(g, {})[c] = n
+    want = [(g, c, n) for g, m in sorted(members.items()) if len(m) > 1 for c, n in sorted(m.items())]
+    got = [(x["region"], x["class"], x["n"]) for b in jaccard._held()(batches(rows)) for x in b.to_pylist()]
+    assert got == want
+    pairs = [(x["a"], x["b"]) for b in jaccard._hubs(85)(batches(got)) for x in b.to_pylist()]
+    assert pairs == [(min(m), c) for g, m in sorted(members.items()) for c, n in sorted(m.items()) if c != min(m) and 100 * min(n, m[min(m)]) >= 85 * max(n, m[min(m)])]
+
+
+def test_a_group_of_copies_costs_one_pair_each(spark, monkeypatch):
+    """Copies of one text with a word changed meet their original, not each other."""
+    made = []
+    scan = jaccard._near
+
+    def told(percent):
+        inner = scan(percent)
+        seen = spark.sparkContext.accumulator(0)
+        made.append(seen)
+
+        def run(batches):
+            def tell(batch):
+                seen.add(batch.num_rows)
+                return batch
+
+            yield from inner(map(tell, batches))
+
+        return run
+
+    monkeypatch.setattr(jaccard, "_near", told)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base))] + [(i, " ".join(base[:i] + [f"x{i}", f"y{i}"] + base[i + 2 :])) for i in range(1, 140)]
+    assert Counter(map(tuple, jaccard.jaccard_components(frame(spark, rows)).collect())) == brute(rows)
+    assert sum(x.value for x in made) <= 2 * len(rows)
+
+
 def test_registered_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert Counter(map(tuple, entry_points.queries()["op3_jaccard_regions"](spark, SF).collect())) == brute(rows)
