@@ -22,8 +22,6 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import BisectingKMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -363,10 +361,3 @@ def hierarchy(
     table = cut_lineage(update_centers(assigned, cols))
     cuts = _cuts(table, merge_rounds(table, cols, linkage), k_list)
     return salted_join(assigned.select(key, "label"), cuts, ["label"], F.col(key)).select(key, *named)
-
-
-def bisecting(df: DataFrame, key: str, cols: Sequence[str], k: int, seed: int = 0) -> DataFrame:
-    """Top-down alternative: ``(key, label)`` by repeated two-way splits over all rows."""
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(df.select(key, *cols))
-    model = BisectingKMeans(k=k, seed=seed).fit(vec)
-    return model.transform(vec).select(key, F.col("prediction").alias("label"))

@@ -8,6 +8,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from stratiform.operators import bisecting as bi
 from stratiform.operators import centers as ce
 from stratiform.operators import columns as c
 from stratiform.operators import describe as d
@@ -426,3 +427,22 @@ for _name in hi.LINKAGES:
         ctes("std", ms.lloyd("std", X, EIGHT, 0) + f",\n{_groups},\n{ms.linkage('grp', X, _name, EIGHT - 1)}")
         + " UNION ALL ".join(f"SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, {r('h')} FROM p{i}" for i in range(EIGHT - 1)),
     )(_merges(_name))
+
+
+# ---- top-down splits -----------------------------------------------------------------
+
+_SPLIT = f"""{ms.lloyd('std', X, 2, ROUNDS)},
+pick AS (SELECT label AS worst FROM a{ROUNDS} GROUP BY label ORDER BY sum(sq_dist) DESC, label LIMIT 1),
+sub AS (SELECT {KEY}, {', '.join(X)} FROM a{ROUNDS} JOIN pick ON label = worst),
+{_renamed(ms.lloyd('sub', X, 2, ROUNDS), 'a|c', 'b')}"""
+
+
+@query(
+    "C16d_bisecting_rounds",
+    ctes("std", _SPLIT)
+    + f"""SELECT o.{KEY}, CAST(CASE WHEN o.label < worst THEN o.label WHEN o.label = worst THEN worst + i.label ELSE o.label + 1 END AS INTEGER) AS label
+    FROM a{ROUNDS} o CROSS JOIN pick LEFT JOIN ab{ROUNDS} i USING ({KEY})""",
+)
+def _(spark, sf):
+    """Three clusters by two splits of two rounds, each from the two rows with the lowest keys."""
+    return bi.bisecting(_std(spark, sf), KEY, X, 3, max_iter=ROUNDS, tol=0.0, lowest_keys=True)

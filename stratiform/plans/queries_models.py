@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from stratiform.operators import bisecting as bi
 from stratiform.operators import centers as ce
 from stratiform.operators import columns as c
 from stratiform.operators import density as de
@@ -354,7 +355,7 @@ for _name in hi.LINKAGES:
 
 @query("C16d_bisecting")
 def _(spark, sf):
-    return hi.bisecting(flows.model_frame(spark, sf).std, KEY, X, K)
+    return bi.bisecting(flows.model_frame(spark, sf).std, KEY, X, K)
 
 
 # ---- profiles ------------------------------------------------------------------------

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratiform.functions.components import connected_components
+from stratiform.operators import bisecting as bi
 from stratiform.operators import centers as ce
 from stratiform.operators import density as de
 from stratiform.operators import evaluate as ev
@@ -238,10 +239,43 @@ def test_hierarchies_label_every_row(spark, blobs):
     assert out.count() == len(blobs)
     assert sorted(r.n for r in out.groupBy("label_k3").agg(F.count("*").alias("n")).collect()) == [40, 60, 150]
     # Top-down splits the largest cluster first, so it need not find the same three groups.
-    sizes = [r.n for r in profile.label_counts(hi.bisecting(df, "k", COLS, 3)).collect()]
+    sizes = [r.n for r in profile.label_counts(bi.bisecting(df, "k", COLS, 3)).collect()]
     assert len(sizes) == 3 and sum(sizes) == len(blobs)
 
 
+def test_bisecting_equals_one_split_after_another(spark, blobs):
+    """Side by side in shared scans as split by split: fixed starts, then the same order."""
+
+    def halves(rows):
+        points = blobs[rows[:2]]
+        for _ in range(3):
+            near = ((blobs[rows][:, None] - points) ** 2).sum(axis=2).argmin(axis=1)
+            points = np.array([blobs[rows][near == i].mean(axis=0) for i in (0, 1)])
+        d = ((blobs[rows][:, None] - points) ** 2).sum(axis=2)
+        near = d.argmin(axis=1)
+        return [(rows[near == i], d[near == i].min(axis=1).sum()) for i in (0, 1)]
+
+    leaves = [(np.arange(len(blobs)), np.inf)]
+    while len(leaves) < 6:
+        at = max(range(len(leaves)), key=lambda i: leaves[i][1])
+        leaves[at : at + 1] = halves(leaves[at][0])
+    want = np.zeros(len(blobs), int)
+    for i, (rows, _) in enumerate(leaves):
+        want[rows] = i
+    got = labels_of(bi.bisecting(table(spark, blobs), "k", COLS, 6, max_iter=3, tol=0.0, lowest_keys=True))
+    assert (got == want).all()
+
+
+def test_bisecting_finds_groups_and_stops_at_copies(spark, blobs):
+    df = table(spark, blobs)
+    got = labels_of(bi.bisecting(df, "k", COLS, 3))
+    assert all(len(set(got[a:b])) == 1 for a, b in ((0, 150), (150, 210), (210, 250))) and set(got) == {0, 1, 2}
+    same = table(spark, np.repeat([[1.0, 2.0, 3.0], [4.0, 5.0, 6.0]], 30, axis=0))
+    assert sorted(r.n for r in profile.label_counts(bi.bisecting(same, "k", COLS, 5)).collect()) == [30, 30]
+    assert bi.bisecting(df.limit(0), "k", COLS, 3).count() == 0
+    assert set(labels_of(bi.bisecting(df, "k", COLS, 1))) == {0}
+
+
 @pytest.mark.parametrize("linkage", hi.LINKAGES)
 def test_hierarchy_of_300_rows_equals_exact_linkage(spark, monkeypatch, linkage):
     """Nothing is summarised when micro allows every distinct row, by rounds as in one task."""
