@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratiform.functions import quantile as qt
+from stratiform.functions import skew
 from stratiform.functions.expr import HASH_FACTOR, HASH_PRIME, key_hash
 from stratiform.functions.rank import ranked
 from stratiform.functions.skew import salted_join
@@ -178,3 +179,42 @@ def test_left_join_suffixes(spark):
     out = c.left_join(a, b, "k").orderBy("k")
     assert out.columns == ["k", "index_x", "index_y"]
     assert [tuple(r) for r in out.collect()] == [(1, 10, 30), (2, 20, None)]
+
+
+def _dealt_rows(spark):
+    """Half of the rows have one key, a tenth none."""
+    k = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id") % 501).cast("bigint")
+    return spark.range(60_000).select("id", k.alias("k"), F.lit("x").alias("shares"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_counted_join_equals_a_plain_join(spark, how):
+    big = _dealt_rows(spark)
+    small = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    got = skew.counted_join(big, small, ["k"], F.col("id"), how)
+    want = big.join(small, "k", how)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    counts = big.groupBy("k").agg(F.count("*").alias("n"))
+    assert skew.counted_join(big, small, ["k"], F.col("id"), how, counted=counts, counts="n").count() == want.count()
+    assert skew.counted_join(big.limit(0), small, ["k"], F.col("id"), how).count() == 0
+    with pytest.raises(TypeError):
+        skew.counted_join(big, small.withColumn("k", F.col("k").cast("int")), ["k"], F.col("id"), how)
+
+
+def test_counted_join_deals_a_hot_key_evenly(spark):
+    """No task gets more than twice the median, and keys that are not hot travel once."""
+    big = _dealt_rows(spark)
+    heavy = {r.name: r.shares for r in skew.key_shares(big, ["k"], 128).collect()}
+    assert sorted(heavy.values()) == [13, 65]  # 6,000 and 30,048 of 60,000 rows, 468.75 a share
+    small = spark.range(501).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled",)}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        joined = skew.counted_join(big, small.hint("merge"), ["k"], F.col("id"), "left").withColumn("part", F.spark_partition_id())
+        sizes = sorted(r["count"] for r in joined.groupBy("part").count().collect())
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == 60_000 and len(sizes) == 8
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
