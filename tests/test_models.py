@@ -106,6 +106,21 @@ def test_exact_silhouette(spark, blobs, block_rows):
     assert board["y"].n_clusters == 1
 
 
+def test_silhouette_pairs_of_groups_fill_all_tasks(spark):
+    # Few rows make small partitions, which must not be joined: their work is quadratic.
+    rng = np.random.default_rng(8)
+    points = np.vstack([rng.normal(size=(300, 3)) * 1e-4 + 1e5, rng.normal(size=(5, 3))])
+    points[5] = points[4]
+    lab = np.arange(len(points)) % 3
+    members = table(spark, points).join(spark.createDataFrame([(i, int(v)) for i, v in enumerate(lab)], "k bigint, label int"), "k")
+    sums = ev._label_sums(members, "k", COLS, ["label"], 60)
+    d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+    got = {(r.k, r.other): r.s for r in sums.collect()}
+    want = {(i, int(v)): d[i, lab == v].sum() for i in range(len(points)) for v in range(3)}
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], rel=1e-9) for x in want)
+    assert "REPARTITION_BY_NUM" in sums._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("tol", [0.3, 0.05, 1e-6])
 def test_silhouettes_to_a_tolerance(spark, blobs, tol):
     points = np.concatenate([blobs, blobs[:20]])  # copies share a summary
