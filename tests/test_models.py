@@ -429,6 +429,23 @@ def test_tree_equals_brute_force(spark, small_rows):
     assert tree.fit_tree(df.limit(0), COLS).size == 0
 
 
+@pytest.mark.parametrize("corner_classes", [8, 0])
+def test_tree_scores_few_values_of_a_level(spark, monkeypatch, corner_classes):
+    """Only buckets that may hold the best split are scored by value; the tree stays exact."""
+    r = np.random.default_rng(9)
+    x = np.stack([r.normal(size=2000), np.where(r.random(2000) < 0.4, -0.0, r.normal(size=2000)), r.integers(0, 3, 2000)], 1)
+    x[0, 0], x[1, 0] = -np.inf, np.inf
+    y = (x[:, 0] > 0.2).astype(int) + 2 * (x[:, 1] > 0.5) + (r.random(2000) < 0.05)
+    df = spark.createDataFrame([(*map(float, row), int(v)) for row, v in zip(x, y)], "c0 double, c1 double, c2 double, label int")
+    monkeypatch.setattr(tree, "CORNER_CLASSES", corner_classes)
+    monkeypatch.setattr(tree, "BUCKETS", 40)
+    model = tree.fit_tree(df, COLS, small_rows=300)
+    assert {n.path: (n.feature, n.threshold, n.n, n.majority, n.hits) for n in model.nodes.collect()} == brute_tree(x, y, 3)
+    rows = df.select(F.lit("").alias("path"), F.array(*COLS).alias("x"), F.col("label").alias("y"))
+    cells, _ = tree._cells(rows, sorted(set(y.tolist())), 3, tree._edges(rows, 3, 40))
+    assert 0 < cells.count() < 0.1 * sum(len(np.unique(x[:, f])) for f in range(3))
+
+
 def test_report_with_a_class_never_predicted(spark):
     pred = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (2, 1)], "label int, prediction int")
     rep = {r.label: r for r in ev.classification_report(pred).collect()}
