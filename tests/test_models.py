@@ -474,3 +474,22 @@ def test_member_sums_hold_few_distances_and_match_brute_force(k):
     assert np.allclose(got, want)
     # A batch of 10,000 rows against 400 prototypes once took 32 MB for each array of distances.
     assert max(s.stop - s.start for s in ce._chunks(10_000, 400)) * 400 * 8 <= 4 << 20
+
+
+@pytest.mark.parametrize("linkage", ["complete", "average", "weighted"])
+def test_linkage_rounds_store_rows_not_distances(spark, tmp_path, linkage):
+    rng = np.random.default_rng(5)
+    n = 400
+    x, w = rng.normal(size=(n, 3)), rng.integers(1, 4, n).astype(float)
+    df = spark.createDataFrame([(i, *map(float, x[i]), float(w[i])) for i in range(n)], "label bigint, a double, b double, c double, n double")
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        got = sorted(map(tuple, hi.merge_rounds(df, ["a", "b", "c"], linkage, few=250, block_rows=60).collect()), key=lambda m: (m[2], m[0]))
+    finally:
+        if before is not None:
+            spark.sparkContext._jsc.sc().setCheckpointDir(before.rsplit("/", 1)[0])
+    want = sorted(hi._last_merges(np.arange(n), w, np.sqrt(ce.distances(x, x)), linkage), key=lambda m: (m[2], m[0]))
+    assert [m[:2] for m in got] == [m[:2] for m in want] and np.allclose([m[2] for m in got], [m[2] for m in want])
+    # The matrix of distances, once stored round by round, has this many bytes.
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*") if p.is_file()) < 8 * n * n
