@@ -1,5 +1,8 @@
 """Hand-made tables for the edge cases of the row-level and descriptive operators."""
 
+import time
+from pathlib import Path
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -15,6 +18,7 @@ from stratiform.operators import columns as c
 from stratiform.operators import describe as d
 from stratiform.operators import quality as q
 from stratiform.operators import scale, tree
+from stratiform.session import RELEASE, cut_lineage, cut_plan
 from stratiform.sources import io
 
 
@@ -218,3 +222,17 @@ def test_counted_join_deals_a_hot_key_evenly(spark):
             spark.conf.set(c, v)
     assert sum(sizes) == 60_000 and len(sizes) == 8
     assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    held = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*")}
+    before, setting = held(), spark.conf.get(RELEASE, None)
+    grouped = spark.range(20_000).groupBy(F.xxhash64("id").alias("k")).agg(F.sum("id").alias("s"))
+    kept = [cut_lineage(grouped), cut_plan(grouped), cut_lineage(grouped)]  # the same table again
+    assert [t.agg(F.sum("s")).first()[0] for t in kept] == [sum(range(20_000))] * 3
+    wait = time.monotonic() + 20
+    while (left := {f for f in held() - before if f.stat().st_size > 20_000}) and time.monotonic() < wait:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(RELEASE, None) == setting
