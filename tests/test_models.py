@@ -493,3 +493,43 @@ def test_linkage_rounds_store_rows_not_distances(spark, tmp_path, linkage):
     assert [m[:2] for m in got] == [m[:2] for m in want] and np.allclose([m[2] for m in got], [m[2] for m in want])
     # The matrix of distances, once stored round by round, has this many bytes.
     assert sum(p.stat().st_size for p in tmp_path.rglob("*") if p.is_file()) < 8 * n * n
+
+
+def test_rows_within_reach_by_product_equal_measured_ones():
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(700, 9)), rng.normal(size=(600, 9))
+    y[:40] = x[:40]
+    y[40:80] = x[40:80] + np.eye(9)[0] * 0.9  # on the border
+    for shift in (0.0, 1e4):
+        a, b = x + shift, y + shift
+        assert (ce.within(a, b, 0.9) == (ce.distances(a, b) <= 0.9 * 0.9)).all()
+    grid = np.round(rng.normal(size=(300, 2)), 1)
+    assert (ce.within(grid, grid, 0.5) == (ce.distances(grid, grid) <= 0.25)).all()
+    assert ce.within(x[:0], y, 0.9).shape == (0, 600) and ce.within(x, y[:0], 0.9).shape == (700, 0)
+
+
+def test_seeds_count_runs_inside_their_radius_as_a_whole(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(1500, 3)) * 0.05, rng.normal(size=(1500, 3)) * 2])
+    seeds = np.array([[0.0, 0.0, 0.0], [1.0, 0.5, -0.5], [50.0, 50.0, 50.0]])
+    points = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    n, mean = de._scan_round(points, ["a", "b", "c"], seeds, 0.8, 8)
+    inside = ce.distances(x, seeds) <= 0.8 * 0.8
+    assert n.tolist() == inside.sum(axis=0).tolist() and n[0] > 1500 and n[2] == 0
+    for i in (0, 1):
+        assert np.allclose(mean[i], x[inside[:, i]].mean(axis=0))
+
+
+def test_moments_of_many_runs_equal_one_by_one(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 3))
+    points = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    mixes = [mi.Mixture(("a", "b", "c"), np.array([0.3, 0.7]), rng.normal(size=(2, 3)), np.stack([np.eye(3) * v for v in (0.5, 2.0)])) for _ in range(3)]
+    runs = {i: ("soft", m.means, *m.whitening()) for i, m in enumerate(mixes)}
+    found = mi._moments(points, ["a", "b", "c"], runs, 2, 8)
+    terms = np.hstack([np.ones((400, 1)), x, (x[:, :, None] * x[:, None, :]).reshape(400, 9)])
+    for i, (_, means, inv, const) in runs.items():
+        lj = np.stack([const[j] - 0.5 * (((x - means[j]) @ inv[j].T) ** 2).sum(axis=1) for j in range(2)], axis=1)
+        norm = np.log(np.exp(lj).sum(axis=1, keepdims=True))
+        assert np.allclose(found[i][0], np.exp(lj - norm).T @ terms)
+        assert np.isclose(found[i][1], norm.sum())
