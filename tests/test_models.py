@@ -164,6 +164,27 @@ def test_dbscan_matches_brute_force(spark, dims, eps, least):
         assert (labels_of(de.dbscan(df, "k", cols, eps, least, direct_pairs=direct)) == want).all()
 
 
+def test_dbscan_compares_cells_of_different_clusters_only(spark, monkeypatch):
+    """Two crowded squares and a few lone rows: once cells sharing a face are linked, only pairs
+    of cells that are still apart are looked at."""
+    rng = np.random.default_rng(11)
+    x = np.vstack([rng.uniform(size=(900, 2)), rng.uniform(size=(900, 2)) + [1.15, 0], rng.uniform(size=(30, 2)) * 3 + [0, 1.4]]).round(6)
+    asked, touching = [], de._touching
+
+    def counted(requests, *rest):
+        asked.append(requests.count())
+        return touching(requests, *rest)
+
+    monkeypatch.setattr(de, "_touching", counted)
+    for direct in (None, 0):
+        asked.clear()
+        assert (labels_of(de.dbscan(table(spark, x), "k", ["c0", "c1"], 0.2, 6, direct_pairs=direct)) == brute_dbscan(x, 0.2, 6)).all()
+        side = 0.2 / np.sqrt(2)
+        cells = {tuple(c) for c in np.floor(x[:1800] / side).astype(int)}
+        shared = sum(((a, b + 1) in cells) + ((a + 1, b) in cells) for a, b in cells)
+        assert len(asked) == 2 and sum(asked) < 2 * shared
+
+
 def test_dbscan_all_noise(spark):
     x = np.arange(20.0)[:, None] * 10 @ np.ones((1, 2))
     df = table(spark, x)
