@@ -345,6 +345,22 @@ def test_hierarchy_of_300_rows_equals_exact_linkage(spark, monkeypatch, linkage)
         assert set(map(frozenset, got.values())) == want
 
 
+def test_ward_merges_inside_blocks_equal_one_task(spark, monkeypatch):
+    """Groups far from each other need no look-up until they are few, and rows that lie anywhere
+    look up in some rounds only. Merges are those of the whole matrix, blocks too large included."""
+    rng, looks, look = np.random.default_rng(8), [], hi._looked_up
+    monkeypatch.setattr(hi, "_looked_up", lambda held, *rest: (looks.append(held.count()), look(held, *rest))[1])
+    groups = np.vstack([rng.normal(size=(50, 3)) * 0.1 + m * 100.0 for m in rng.normal(size=(8, 3))])
+    for x, few, rows, asked in ((groups, 8, 64, 80), (rng.uniform(size=(400, 3)), 20, 32, 1500), (np.vstack([groups[:60], groups[:200] * 1e-3]), 1, 8, 1500)):
+        looks.clear()
+        n = rng.integers(1, 4, size=len(x)).astype(float)
+        micro = spark.createDataFrame([(i, *map(float, p), int(w)) for i, (p, w) in enumerate(zip(x, n))], "label bigint, c0 double, c1 double, c2 double, n bigint")
+        got = sorted(tuple(r) for r in hi.merge_rounds(micro, COLS, "ward", few, rows).collect())
+        want = sorted(hi._last_merges(np.arange(len(x)), n, ce.distances(x, x), "ward"))
+        assert [m[:2] for m in got] == [m[:2] for m in want] and np.allclose([m[2] for m in got], [m[2] for m in want], rtol=1e-6, atol=1e-9)
+        assert sum(looks) <= asked
+
+
 def test_kmodes_small(spark):
     rows = [("a", "x")] * 5 + [("a", "y")] * 2 + [("b", "z")] * 3 + [(None, "z")]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "k bigint, p string, q string")
