@@ -63,3 +63,24 @@ def test_split_sides_make_the_whole(spark):
     frame = flows.model_frame(spark, SF).features
     train, test = tree.split_by_key(frame, KEY, 0.7, 1)
     assert train.count() + test.count() == frame.count()
+
+
+def test_explain_and_extend_reports_and_extends(spark):
+    """The report alone is half of the job: matrix, leaves and placed outliers belong to it."""
+    out = entry_points.queries()["E5_explain_and_extend"](spark, SF).toPandas()
+    s = flows.segment(spark, SF)
+    model, train, test = flows.explain(s)
+    whole = flows.extend(s, model).toPandas()
+    of = {name: part for name, part in out.groupby("section")}
+    assert set(of) == {"report", "confusion", "leaf", "profile", "inside", "with_outliers"}
+    assert whole["outlier"].any() and of["profile"]["n"].sum() == len(whole)
+    want = whole.groupby("label")[flows.FEATURES].mean()
+    got = of["profile"].assign(label=of["profile"]["label"].astype(int)).set_index("label")[flows.FEATURES].sort_index()
+    assert abs(got.to_numpy() - want.to_numpy()).max() < 1e-3
+    assert of["leaf"]["n"].sum() == train.count() and of["confusion"]["n"].sum() == test.count()
+    report = of["report"].set_index("label")
+    hits = of["confusion"][of["confusion"]["label"].astype(float) == of["confusion"]["prediction"]]["n"].sum()
+    assert report.loc["accuracy", "precision"] == pytest.approx(hits / test.count(), abs=1e-4)
+    n = of["inside"].groupby("variable")["n"].sum()
+    more = of["with_outliers"].groupby("variable")["n"].sum()
+    assert set(n) == {int((~whole["outlier"]).sum())} and set(more) == {len(whole)}
