@@ -570,3 +570,37 @@ def test_moments_of_many_runs_equal_one_by_one(spark):
         norm = np.log(np.exp(lj).sum(axis=1, keepdims=True))
         assert np.allclose(found[i][0], np.exp(lj - norm).T @ terms)
         assert np.isclose(found[i][1], norm.sum())
+
+
+@pytest.mark.parametrize("linkage", ["complete", "average", "weighted"])
+def test_linkage_held_or_dealt_equals_one_task(spark, monkeypatch, linkage):
+    """Rows held by each task, and rows dealt into blocks with clusters too large for one."""
+    rng = np.random.default_rng(12)
+    x = np.vstack([rng.normal(size=(70, 2)) * 0.2 + [m, 0.0] for m in (0.0, 30.0)] + [rng.uniform(-20, 50, size=(20, 2))])
+    w = rng.integers(1, 4, len(x)).astype(float)
+    df = spark.createDataFrame([(i, *map(float, p), float(n)) for i, (p, n) in enumerate(zip(x, w))], "label bigint, c0 double, c1 double, n double")
+    want = sorted(hi._last_merges(np.arange(len(x)), w, np.sqrt(ce.distances(x, x)), linkage), key=lambda m: (m[2], m[0]))
+    for cells, few, rows in ((hi.HELD_CELLS, 8, 64), (0, 20, 8)):
+        monkeypatch.setattr(hi, "HELD_CELLS", cells)
+        got = sorted(map(tuple, hi.merge_rounds(df, ["c0", "c1"], linkage, few, rows).collect()), key=lambda m: (m[2], m[0]))
+        assert [m[:2] for m in got] == [m[:2] for m in want] and np.allclose([m[2] for m in got], [m[2] for m in want])
+
+
+@pytest.mark.parametrize("linkage", ["complete", "average"])
+def test_nearest_cluster_measures_few_rows(monkeypatch, linkage):
+    rng = np.random.default_rng(13)
+    x, cells, between = rng.normal(size=(3000, 4)), [], hi._between
+    monkeypatch.setattr(hi, "_between", lambda a, m, p, b, *rest: (cells.append(len(a) * len(b)), between(a, m, p, b, *rest))[1])
+    x = x[np.argsort(x[:, 0].round() * 1000 + x[:, 1].round(1) * 10)]
+    starts = np.arange(0, 3000, 3)
+    share = np.full(3000, 1 / 3)
+    held, complete = hi._Held(np.arange(1000), starts, np.full(1000, 3.0), share, x), linkage == "complete"
+    whole = between(x, starts, share, x, starts, share, complete)
+    np.fill_diagonal(whole, np.inf)
+    d = np.sqrt(ce.distances(held.c, held.c))
+    got = [held.nearest(p, d[p], 1e-9, complete) for p in range(1000)]
+    assert [g[0] for g in got] == whole.argmin(axis=1).tolist() and np.allclose([g[1] for g in got], whole.min(axis=1))
+    assert sum(cells) < 0.2 * 3000 * 3000
+    fast = hi._between_many(x, starts, share, x, starts, share, complete)
+    np.fill_diagonal(fast, np.inf)
+    assert np.allclose(fast, whole)
