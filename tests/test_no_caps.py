@@ -111,3 +111,10 @@ def test_no_task_judges_more_than_two_blocks(spark, eps):
 def test_blocks_of_an_empty_table(spark):
     df = spark.createDataFrame([], "key bigint, x double, y double")
     assert dbscan_blocks(df, "key", ["x", "y"], 1.0, 3).count() == 0
+
+
+def test_block_pairs_are_done_in_shares(spark):
+    """Where all blocks are near each other, their rows travel a few times at once, not once per block."""
+    pairs = spark.range(81 * 4).select((F.col("id") % 18).alias("home"), (F.col("id") / 18).cast("bigint").alias("other")).filter("home != other")
+    shares = density_blocks._in_shares(pairs, 18)
+    assert len(shares) == 5 and sum(s.count() for s in shares) == 306
